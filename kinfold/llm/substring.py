@@ -24,7 +24,6 @@ text); an empty table gives an empty result; columns beside the named ones are l
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
