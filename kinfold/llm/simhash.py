@@ -36,8 +36,9 @@ from kinfold.operators.components import connected_components
 from kinfold.storage import stage
 from kinfold.workers import map_arrow
 
-#: Fingerprints in a bucket from which pairs give way to ball points.
-BUCKET = 48
+#: Fingerprints in a bucket from which pairs give way to ball points: up to here a member is in
+#: fewer pairs than it has ball points, (BUCKET - 1) / 2 < 65.
+BUCKET = 130
 #: Cost of a probe key in units of a candidate pair.
 KEY_COST = 2.0
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -175,7 +176,7 @@ def link(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     pairs = small.select("mask", "key", F.col("fp").alias("a")).join(small.select("mask", "key", F.col("fp").alias("b")), ["mask", "key"]).where((F.col("a") < F.col("b")) & near).select("a", "b")
     hot = found.where(F.col("members") > BUCKET).select("fp").distinct()
-    balls = hot.select("fp", F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)])).alias("point"))
+    balls = stage(hot.select("fp", F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)])).alias("point")), "balls")
     centre = balls.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
     around = balls.join(centre, "point").where(F.col("fp") != F.col("a")).select("a", F.col("fp").alias("b"))
     return pairs.union(around).distinct()
