@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: query name -> module of this subpackage; each module has a function of the query's name and, where SQL can express it, its SQL in ``ORACLE_SQL``.
 MODULES = {
+    "op2_sentencepiece_samples": "pieces",
     "op1_line_dedup": "lines",
     "op9_html_extract": "html",
     "op4_warc_revisits": "warc",

@@ -103,13 +103,13 @@ class Batch:
         return Rolling(self.data.astype(np.uint64), which).of(self.start, self.stop)
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no step holds much more than ``STEP_BYTES`` of text."""
+def steps(batches: Iterator[pa.RecordBatch], text: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no step holds much more than ``size`` bytes of text."""
     import pyarrow.compute as pc
 
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        before = np.cumsum(sizes) // STEP_BYTES
+        before = np.cumsum(sizes) // size
         cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
