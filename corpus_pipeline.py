@@ -1,11 +1,85 @@
-"""A training corpus from ``documents``: five stages of the operators in ``kinfold.llm``."""
+"""A training corpus from ``documents``: quality rules, line dedup, near dedup, substring dedup, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; the caller
+writes its result as Parquet and hands the reread rows to the next. All but the last return the
+columns of ``documents``, with n_chars counted anew where the text has changed. Documents left
+without words by a stage go with it.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinfold.llm import lines, packing, quality, simhash, substring
+from kinfold.storage import release, shared_dir
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    """The columns of ``documents``, n_chars counted, rows without words dropped."""
+    df = df.withColumn("n_chars", F.length("text").cast("long"))
+    return df.where(packing.n_words(F.col("text")) > 0).select(*COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    cutoffs = quality.certified_cutoffs(docs, labels)
+    return quality.judge(docs, cutoffs).where("kept").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal and nearly equal lines the first stays."""
+    return _documents(lines.dedup_lines(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the smallest id stays; of its repeated rows, one."""
+    release(spark)  # the input has been written: nothing unread depends on what the last stage staged
+    classes = simhash.near_duplicates(docs)
+    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    # Rows that share an id are one document's; the smallest text stands for them.
+    twice = docs.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_n"), F.min(F.xxhash64("text")).alias("_least"))
+    out = docs.join(keep.join(twice, keep["_kept"].eqNullSafe(twice["_kept"])).select(keep["_kept"], "_n", "_least"), F.col("doc_id").eqNullSafe(F.col("_kept")))
+    once = out.where("_n = 1").select(*COLUMNS)
+    several = out.where((F.col("_n") > 1) & (F.xxhash64("text") == F.col("_least"))).dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return once.union(several)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words inside passages that repeat go; texts without such passages stay as they are."""
+    release(spark)
+    found = substring.remove_repeats(docs)
+    return _documents(found.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences in length buckets and token-budget batches."""
+    release(spark)
+    return packing.pack(docs, packing.n_words(F.col("text")))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("SimHash near dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("packing", pack),
+]
+
+#: Thresholds with exact tails, edit classes and the optimal buckets are beyond one SQL statement.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; what lies between them is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
