@@ -189,7 +189,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = stage(connected_components(link(fps)), "components")
     lowest = nodes.join(fps, F.col("node") == F.col("fp")).groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_id"))
     named = nodes.join(lowest, F.col("component") == F.col("c")).select("node", "component_id")
+    # Staged, so that the join below has plain exchanges and Spark splits very common fingerprints.
     named = fps.join(named, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("f"), F.coalesce("component_id", "least").alias("component_id"))
+    named = stage(named, "named")
     return rows.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 

@@ -131,7 +131,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     """doc_id, text_hash, spans: window starts low to high, each of which is repeated; ``docs`` has doc_id, text, text_hash."""
     found = stage(anchors(docs, length, seed), "anchors")
     counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("z"))
-    counts = counts.where("n > 1").select(F.col("anchor").alias("seed"), (F.col("a") != F.col("z")).alias("differ"))
+    # Staged, so that the join has plain exchanges on both sides and Spark splits very common anchors.
+    counts = stage(counts.where("n > 1").select(F.col("anchor").alias("seed"), (F.col("a") != F.col("z")).alias("differ")), "repeated")
     found = stage(found.join(counts, F.col("anchor") == F.col("seed")).drop("seed"), "shared")
     # One row for each distinct context, with one of its occurrences.
     contexts = found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.first("differ").alias("differ"), F.min(F.struct("doc_id", "text_hash", "low", "high")).alias("r"))
