@@ -42,7 +42,11 @@ SEEN, BLOCK = 400_000, 1024
 #: Lines whose place is broadcast to fetch their text; beyond, the documents are shuffled.
 BROADCAST_LINES = 100_000
 
-_PARITY_BITS = 48
+#: Bytes of text in a step: code points and their hashes take some sixty times as much.
+STEP = 1_000_000
+
+#: Layout of ``info``, from the low end: written to the index, probes it, length, parities.
+INDEX, PROBE, _LENGTH, _PARITY_BITS = np.uint64(1), np.uint64(2), np.uint64(0x3FFF), 48
 
 
 class Lines:
@@ -61,19 +65,19 @@ class Lines:
     def take(self, keep: np.ndarray) -> None:
         self.start, self.stop, self.text, self.number = (x[keep] for x in (self.start, self.stop, self.text, self.number))
 
-    def hashes(self) -> tuple[np.ndarray, np.ndarray, Rolling]:
-        one, two = (Rolling(self.codes.astype(np.uint64), which) for which in (1, 2))
-        return one.of(self.start, self.stop), two.of(self.start, self.stop), one
+    def hashes(self, which: int) -> tuple[np.ndarray, Rolling]:
+        rolling = Rolling(self.codes, which)
+        return rolling.of(self.start, self.stop), rolling
 
 
 def line_places(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, text_hash, line, h1, h2 of every line that takes part; ``docs`` has doc_id, text, text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             x = Lines(batch.column("text"))
             x.take(x.stop - x.start >= min_chars)
-            h1, h2, _ = x.hashes()
+            (h1, _), (h2, _) = x.hashes(1), x.hashes(2)
             row = pa.array(x.text)
             yield pa.record_batch(
                 [batch.column("doc_id").take(row), batch.column("text_hash").take(row), pa.array(x.number.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["doc_id", "text_hash", "line", "h1", "h2"]
@@ -87,30 +91,32 @@ def segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.ndar
     return length * i // parts, length * (i + 1) // parts
 
 
-def segment_keys(x: Lines, rolling: Rolling, threshold: int, min_chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(line indexes, keys, is probe) of the index and of all probes."""
+def segment_keys(x: Lines, rolling: Rolling, threshold: int, min_chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.uint64]]:
+    """(line indexes, keys, INDEX and PROBE bits) of all segments and of all probes.
+
+    A line's own segments are index and probe in one row: they find lines of its length at no shift.
+    """
     length, parts = x.stop - x.start, threshold + 1
     tag = lambda n, i: mix(n.astype(np.uint64) * np.uint64(64) + np.uint64(i))
     for i in range(parts):
-        a, b = segment(length, i, parts)
-        yield np.arange(len(length)), rolling.of(x.start + a, x.start + b) ^ tag(length, i), False
         for less in range(threshold + 1):
             other = length - less
             a, b = segment(other, i, parts)
             for move in range(max(-i, less - (threshold - i)), min(i, less + threshold - i) + 1):
                 at = np.flatnonzero((other >= min_chars) & (a + move >= 0) & (b + move <= length))
-                yield at, rolling.of((x.start + a + move)[at], (x.start + b + move)[at]) ^ tag(other[at], i), True
+                own = less == 0 and move == 0
+                yield at, rolling.of((x.start + a + move)[at], (x.start + b + move)[at]) ^ tag(other[at], i), INDEX | PROBE if own else PROBE
 
 
 def line_keys(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """key, h1, info: info holds the parities of character counts, the length and whether the key is a probe."""
+    """key, h1, info: info holds the parities of character counts, the length, and whether the key is of the index or a probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             x = Lines(batch.column("text"))
             x.take(x.stop - x.start >= min_chars)
-            h1, _, rolling = x.hashes()
+            h1, rolling = x.hashes(1)
             if len(seen) > SEEN:
                 seen = set()
             fresh = np.array([h not in seen and not seen.add(h) for h in h1.tolist()], bool)
@@ -118,25 +124,24 @@ def line_keys(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
             if not len(x.start):
                 continue
             h1, length = h1[fresh], x.stop - x.start
-            bit = np.uint64(1) << (mix(x.codes.astype(np.uint64)) % np.uint64(_PARITY_BITS))
+            bit = np.uint64(1) << ((x.codes * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(_PARITY_BITS)).astype(np.uint64)
             running = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bit)))
-            info = ((running[x.stop] ^ running[x.start]) << np.uint64(16)) | ((length.astype(np.uint64) & np.uint64(0x7FFF)) << np.uint64(1))
-            for at, key, probe in segment_keys(x, rolling, threshold, min_chars):
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(h1[at].view(np.int64)), pa.array((info[at] | np.uint64(probe)).view(np.int64))], names=["key", "h1", "info"])
+            info = ((running[x.stop] ^ running[x.start]) << np.uint64(16)) | ((length.astype(np.uint64) & _LENGTH) << np.uint64(2))
+            for at, key, kind in segment_keys(x, rolling, threshold, min_chars):
+                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(h1[at].view(np.int64)), pa.array((info[at] | kind).view(np.int64))], names=["key", "h1", "info"])
 
     return map_arrow(docs.select("text"), run, "key long, h1 long, info long")
 
 
 def _candidates(h: np.ndarray, info: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one key's index rows and probe rows that lengths and parities allow, block by block."""
-    probe = (info & np.uint64(1)).astype(bool)
-    left, right = np.flatnonzero(~probe), np.flatnonzero(probe)
-    length, parity = (info >> np.uint64(1)) & np.uint64(0x7FFF), info >> np.uint64(16)
+    left, right = np.flatnonzero(info & INDEX), np.flatnonzero(info & PROBE)
+    length, parity = (info >> np.uint64(2)) & _LENGTH, info >> np.uint64(16)
     for a in range(0, len(left), BLOCK):
         for b in range(0, len(right), BLOCK):
             i, j = left[a : a + BLOCK, None], right[None, b : b + BLOCK]
             # A probe goes to lines as long as its own or shorter; equal lengths are met twice, once is enough.
-            more = (length[j] - length[i]) & np.uint64(0x7FFF)
+            more = (length[j] - length[i]) & _LENGTH
             ok = (h[i] != h[j]) & (more <= threshold) & ((more > 0) | (h[i] < h[j]))
             ok &= np.bitwise_count(parity[i] ^ parity[j]) <= 2 * threshold
             r, c = np.nonzero(ok)
@@ -153,9 +158,9 @@ def candidate_pairs(keys: DataFrame, threshold: int) -> DataFrame:
         def pairs(key, h, info):
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             size = np.diff(np.append(edges, len(key)))
-            probes = np.add.reduceat((info & np.uint64(1)).astype(np.int64), edges)
+            indexed = np.bitwise_or.reduceat(info & INDEX, edges) > 0
             several = np.maximum.reduceat(h, edges) != np.minimum.reduceat(h, edges)
-            for e in np.flatnonzero((probes > 0) & (probes < size) & several):
+            for e in np.flatnonzero(indexed & several):
                 s = slice(edges[e], edges[e] + size[e])
                 both = np.unique(np.stack((h[s], info[s])), axis=1)
                 yield from _candidates(both[0], both[1], threshold)

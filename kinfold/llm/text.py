@@ -60,12 +60,14 @@ _powers = {1: Powers(_B1), 2: Powers(_B2)}
 
 
 class Rolling:
-    """Hashes of any slice of a sequence of 64-bit values in constant time (a polynomial modulo 2**64, then mixed)."""
+    """Hashes of any slice of a sequence of integers in constant time (a polynomial modulo 2**64, then mixed)."""
 
     def __init__(self, values: np.ndarray, which: int = 1):
         self.up, self.down = _powers[which].upto(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(mix(values + np.uint64(which)) * self.up[: len(values)], out=self.sums[1:])
+        np.multiply(values, self.up[: len(values)], out=self.sums[1:])
+        self.sums[1:] += self.up[: len(values)]
+        np.cumsum(self.sums[1:], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """The length takes part, so that slices of different lengths differ."""
@@ -100,7 +102,7 @@ class Batch:
         self.first = np.searchsorted(self.start, self.bounds)
 
     def word_hashes(self, which: int = 1) -> np.ndarray:
-        return Rolling(self.data.astype(np.uint64), which).of(self.start, self.stop)
+        return Rolling(self.data, which).of(self.start, self.stop)
 
 
 def steps(batches: Iterator[pa.RecordBatch], text: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
