@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import normalize as N
 from kinfold.functions import policy as P
-from kinfold.operators.fold import changes, conflicts, fold, history
+from kinfold.operators import enrich
+from kinfold.operators.fold import changes, conflicts, fold, history, trust_rank
 from kinfold.operators.resolve import resolve
+from kinfold.sources.crawl import mail_identifier as _mail
 from kinfold.sources.crawl import observations, read_batches, records
+from kinfold.sources.crawl import phone_identifier as _phone
 from kinfold.storage import stage
 
-#: What completeness counts, of 11; zero and empty count as unfilled.
-SIGNALS = ("full_name", "current_title", "current_company", "city", "experience_months", "annual_salary_inr", "notice_period_days", "open_to_work")
-
 
 @dataclass
 class People:
@@ -32,8 +32,12 @@ class People:
     declined: DataFrame
 
 
-def build(spark: SparkSession, batches: list[tuple[str, str]]) -> People:
-    """Derive everything from the batches: replaying one changes nothing."""
+def build(spark: SparkSession, batches: list[tuple[str, str]], cache: DataFrame | None = None) -> People:
+    """Derive everything from the batches: replaying one changes nothing.
+
+    ``cache`` holds what ``look_up`` returned so far. Its found responses join the identifiers and the fields after
+    the batch that they followed; they take no part in matching rows.
+    """
     rec = stage(records(read_batches(spark, batches)), "records")
     accepted = rec.where("reason IS NULL")
     linked = stage(accepted.join(resolve(accepted), "content_hash"), "linked")
@@ -41,7 +45,7 @@ def build(spark: SparkSession, batches: list[tuple[str, str]]) -> People:
     linked = linked.join(first, "entity").withColumn("created", F.col("ord") == F.col("created_ord"))
     entity_id = N.deterministic_id("cand_", F.col("created_ord"))
     linked = stage(linked.withColumn("candidate_id", entity_id), "rows")
-    identities = _identities(linked)
+    identities = _identities(linked, cache)
     # The strongest identifier that an earlier row of the entity already had names the rule.
     strength = F.array_position(F.array(*map(F.lit, P.IDENTIFIER_STRENGTH)), F.col("i.itype"))
     known = linked.select("candidate_id", "content_hash", "ord", F.explode("identifiers").alias("i")).join(identities.select("candidate_id", "itype", "match_key", "first_ord"), ["candidate_id"])
@@ -55,9 +59,12 @@ def build(spark: SparkSession, batches: list[tuple[str, str]]) -> People:
     rows = rows.withColumn("time", F.to_timestamp("crawled_at")).withColumn("out_of_order", F.coalesce(F.col("time") < F.max("time").over(seen), F.lit(False)))
     rows = stage(rows, "rows")
     seen_fields = observations(rows).join(rows.select("content_hash", "candidate_id"), "content_hash")
+    if cache is not None:
+        seen_fields = seen_fields.unionByName(_looked_up_fields(cache), allowMissingColumns=True)
     folded = stage(fold(seen_fields, ["candidate_id", "field"], protected=F.col("field").isin(*P.NULL_PROTECTED)), "folded")
     by = ["candidate_id", "field"]
-    log = changes(folded, by).join(rows.select("candidate_id", F.col("ord"), "created", "batch"), ["candidate_id", "ord"]).where(~F.col("created"))
+    log = changes(folded, by).join(rows.select("candidate_id", F.col("ord"), "created", "batch"), ["candidate_id", "ord"], "left")
+    log = log.where(~F.coalesce("created", F.lit(False))).withColumn("batch", F.coalesce("batch", F.lit(P.ENRICHMENT)))
     log = log.select("candidate_id", "field", "ord", "batch", "rule", "applied", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"), F.col("new.source").alias("source"))
     skill_log, skill_sets = _skills(rows)
     log = stage(log.unionByName(skill_log, allowMissingColumns=True), "changes")
@@ -65,10 +72,46 @@ def build(spark: SparkSession, batches: list[tuple[str, str]]) -> People:
     return People(rec, rows, _candidates(rows, folded, identities, skill_sets, declined), identities, history(folded, by), log, conflicts(folded, by), declined)
 
 
-def _identities(rows: DataFrame) -> DataFrame:
+def _looked_up(cache: DataFrame) -> DataFrame:
+    """The found responses with an order: behind every row of the batch they followed (``~`` sorts after digits)."""
+    time = F.date_format("fetched_at", "'~'yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    order = F.struct(F.col("after_batch").cast("int").alias("batch_seq"), time.alias("crawled_at"), F.lit(0).alias("source_row_id"), F.col("lookup_key").alias("content_hash"))
+    confidence = F.coalesce("confidence", F.lit(P.CONFIDENCE[P.ENRICHMENT]))
+    return cache.where("status = 'found'").withColumns({"ord": order, "source": F.lit(P.ENRICHMENT), "confidence": confidence})
+
+
+def _looked_up_fields(cache: DataFrame) -> DataFrame:
+    pair = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("field"), F.col(c).alias("value"), F.col(c).alias("eq")))
+    each = _looked_up(cache).select("candidate_id", "ord", "source", F.col("fetched_at").alias("time"), "confidence", F.explode(F.array_compact(F.array(pair("current_title"), pair("current_company")))).alias("f"))
+    return each.select("candidate_id", "ord", "source", "time", "confidence", "f.*").withColumn("rank", trust_rank(F.col("field"), F.col("source")))
+
+
+def _looked_up_identifiers(cache: DataFrame, owned: DataFrame) -> DataFrame:
+    """Identifiers of responses, less those that another candidate owns."""
+    found = _looked_up(cache).select("candidate_id", "ord", "source", "confidence", F.explode(F.array_compact(F.array(_mail(F.col("work_email")), _mail(F.col("personal_email")), _phone(F.col("mobile"))))).alias("i"))
+    found = found.select("candidate_id", "ord", "source", "confidence", "i.*")
+    owner = owned.groupBy("itype", "match_key").agg(F.min_by("candidate_id", "ord").alias("owner"))
+    return found.join(owner, ["itype", "match_key"], "left").where(F.coalesce(F.col("owner") == F.col("candidate_id"), F.lit(True))).drop("owner")
+
+
+def look_up(p: People, provider: DataFrame, cache: DataFrame | None, now, after_batch: int) -> DataFrame:
+    """New rows of the cache: candidates without mail and phone but with a handle, the best first, as far as the budget goes."""
+    handle = p.identities.where("itype = 'linkedin_handle' AND is_canonical").select("candidate_id", F.col("match_key").alias("lookup_key"))
+    wanted = p.candidates.where(~F.col("contactable")).select("candidate_id", "completeness_score").join(handle, "candidate_id")
+    spent = 0
+    if cache is not None:
+        wanted, _ = enrich.split_cache(wanted, cache, "lookup_key")
+        spent = cache.count()
+    chosen = enrich.select_within(wanted, spent, "candidate_id", "completeness_score").where("selected")
+    return enrich.bill(chosen, provider, "lookup_key", now).withColumn("after_batch", F.lit(after_batch))
+
+
+def _identities(rows: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """One row for each (candidate, type, key); canonical: work mail first, then the most confident, then the first seen."""
     confidence = F.create_map(*[F.lit(x) for pair in P.CONFIDENCE.items() for x in pair])
     i = rows.select("candidate_id", "ord", "source", F.explode("identifiers").alias("i")).select("candidate_id", "ord", "source", confidence[F.col("source")].alias("confidence"), "i.*")
+    if cache is not None:
+        i = i.unionByName(_looked_up_identifiers(cache, i))
     one = i.groupBy("candidate_id", "itype", "match_key").agg(
         F.min_by("value", "ord").alias("value"), F.min_by("email_type", "ord").alias("email_type"), F.array_sort(F.collect_set("raw_form")).alias("raw_forms"), F.array_sort(F.collect_set("source")).alias("observed_in"),
         F.max("confidence").alias("confidence"), F.min("ord").alias("first_ord"), F.max_by("source", "ord").alias("latest_source"),
@@ -100,7 +143,7 @@ def _candidates(rows: DataFrame, folded: DataFrame, identities: DataFrame, skill
     base = rows.groupBy("candidate_id").agg(F.min("created_ord").alias("created_ord"), F.min("time").alias("first_seen_at"), F.max("time").alias("last_seen_at"), F.countDistinct("source").alias("source_count"), F.bool_or("combined").alias("_c"))
     ident = identities.groupBy("candidate_id").agg(
         F.count("*").alias("identity_count"), F.bool_or(F.col("itype").isin("email", "phone")).alias("contactable"), F.max(F.when((F.col("itype") == "email") & F.col("is_canonical"), F.col("value"))).alias("primary_email"),
-        F.max(F.when((F.col("itype") == "phone") & F.col("is_canonical"), F.col("value"))).alias("primary_phone"), F.max(F.when(F.col("itype") == "linkedin_handle", F.col("value"))).alias("_handle"),
+        F.max(F.when((F.col("itype") == "phone") & F.col("is_canonical"), F.col("value"))).alias("primary_phone"), F.bool_or(F.col("itype") == "email").alias("_mail"), F.bool_or(F.col("itype") == "phone").alias("_phone"),
     )
     collided = declined.select("candidate_id").union(declined.select("other_id")).distinct().withColumn("_n", F.lit(True))
     out = base.join(wide, "candidate_id", "left").join(ident, "candidate_id", "left").join(skills, "candidate_id", "left").join(collided, "candidate_id", "left")
@@ -108,12 +151,13 @@ def _candidates(rows: DataFrame, folded: DataFrame, identities: DataFrame, skill
     out = out.select(
         "candidate_id", "created_ord", "full_name", "current_title", "current_company", F.get_json_object("location", "$.city").alias("city"), F.get_json_object("location", "$.country").alias("country"), F.col("experience_months").cast("int"),
         F.col("annual_salary_inr").cast("long"), F.col("notice_period_days").cast("int"), F.coalesce("skills", F.array().cast("array<string>")).alias("skills"), F.col("open_to_work").cast("boolean"), "primary_email", "primary_phone", "contactable",
-        "source_count", "identity_count", "first_seen_at", "last_seen_at", flags.alias("data_quality_flags"), F.col("_handle").isNotNull().alias("_has_handle"),
+        "source_count", "identity_count", "first_seen_at", "last_seen_at", flags.alias("data_quality_flags"), "_mail", "_phone",
     )
+    # Eleven signals; zero and empty count as unfilled.
     filled = lambda c: F.when(c, 1).otherwise(0)
     eleven = [filled(F.col(c).isNotNull() & (F.col(c) != "")) for c in ("full_name", "current_title", "current_company", "city")] + [filled(F.col(c) > 0) for c in ("experience_months", "annual_salary_inr", "notice_period_days")]
-    eleven += [filled(F.size("skills") > 0), filled(F.col("open_to_work").isNotNull()), filled(F.col("contactable")), filled(F.col("_has_handle"))]
-    return out.withColumn("completeness_score", F.round(sum(eleven, F.lit(0)) / 11.0, 3).cast("decimal(4,3)")).drop("_has_handle")
+    eleven += [filled(F.size("skills") > 0), filled(F.col("open_to_work").isNotNull()), filled(F.col("_mail")), filled(F.col("_phone"))]
+    return out.withColumn("completeness_score", F.round(sum(eleven, F.lit(0)) / 11.0, 3).cast("decimal(4,3)")).drop("_mail", "_phone")
 
 
 def report(p: People, batch: str) -> DataFrame:
@@ -124,7 +168,8 @@ def report(p: People, batch: str) -> DataFrame:
     changed = log.where("applied").groupBy("candidate_id").count()
     split = touched.join(changed, "candidate_id", "left").agg(F.count_if("created").alias("entities_created"), F.count_if(~F.col("created") & (F.col("count") > 0)).alias("entities_updated"), F.count_if(~F.col("created") & F.col("count").isNull()).alias("entities_unchanged_noop"))
     all_rows = p.records.where(mine).agg(F.count("*").alias("rows_in"), F.count("reason").alias("rows_rejected"))
-    rows_of = p.rows.join(touched.select("candidate_id"), "candidate_id", "left_semi").groupBy("candidate_id").agg(F.count("*").alias("n"))
+    until = rows.agg(F.max("ord.batch_seq").alias("_until"))
+    rows_of = p.rows.join(F.broadcast(until), F.col("ord.batch_seq") <= F.col("_until")).join(touched.select("candidate_id"), "candidate_id", "left_semi").groupBy("candidate_id").agg(F.count("*").alias("n"))
     merges = rows_of.agg(F.count_if(F.col("n") > 1).alias("merge_groups"))
     fights = p.conflicts.join(p.rows.where(mine).select("candidate_id", "ord"), ["candidate_id", "ord"], "left_semi").agg(F.count("*").alias("conflicts_resolved"))
     counts = log.agg(F.count_if("applied").alias("fields_changed"), F.count_if(F.col("rule").startswith("REJECTED")).alias("nulls_ignored"))
@@ -144,10 +189,10 @@ EXPORT_COLUMNS = (
 
 
 def export_rows(candidates: DataFrame, cache: DataFrame | None = None) -> DataFrame:
-    """The 22 columns as text, in the order of creation; ``cache``: candidate_id, status, cost, merged_at."""
+    """The 22 columns as text, in the order of creation; ``cache``: what ``look_up`` returned and ``build`` has merged."""
     c = candidates
     if cache is not None:
-        paid = cache.groupBy("candidate_id").agg(F.bool_or((F.col("status") == "found") & F.col("merged_at").isNotNull()).alias("enriched"), F.sum("cost").alias("enrichment_cost_inr"))
+        paid = cache.groupBy("candidate_id").agg(F.bool_or(F.col("status") == "found").alias("enriched"), F.sum("cost").alias("enrichment_cost_inr"))
         c = c.join(paid, "candidate_id", "left")
     else:
         c = c.withColumns({"enriched": F.lit(False), "enrichment_cost_inr": F.lit(0)})

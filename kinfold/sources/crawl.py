@@ -71,7 +71,7 @@ def _identifier(itype: str, raw: Column, value: Column, key: Column | None = Non
     return F.when(value.isNotNull(), made.cast(_IDENTIFIER))
 
 
-def _mail(raw: Column) -> Column:
+def mail_identifier(raw: Column) -> Column:
     return N.let(N.email(raw), lambda e: _identifier("email", raw, e, N.email_key(e), N.email_type(e)))
 
 
@@ -79,7 +79,7 @@ def _handle(raw: Column) -> Column:
     return N.let(N.profile_handle(raw), lambda h: _identifier("linkedin_handle", raw, h))
 
 
-def _phone(raw: Column) -> Column:
+def phone_identifier(raw: Column) -> Column:
     return N.let(N.phone(raw), lambda p: _identifier("phone", raw, p))
 
 
@@ -96,9 +96,9 @@ def records(lines: DataFrame) -> DataFrame:
     title = lambda name, key: _field(v, name, key, N.clean(_text(v, key)))
     login = F.lower(N.clean(_text(v, "login")))
     identifiers = pick(
-        F.array(_handle(_text(v, "profile_url")), _mail(_text(v, "email")), _phone(_text(v, "phone"))),
-        F.array(_handle(_text(v, "linkedin")), _mail(_text(v, "email_id")), _phone(_text(v, "mobile"))),
-        F.array(_identifier("github_login", _text(v, "login"), login), _handle(_text(v, "blog")), _mail(_text(v, "email"))),
+        F.array(_handle(_text(v, "profile_url")), mail_identifier(_text(v, "email")), phone_identifier(_text(v, "phone"))),
+        F.array(_handle(_text(v, "linkedin")), mail_identifier(_text(v, "email_id")), phone_identifier(_text(v, "mobile"))),
+        F.array(_identifier("github_login", _text(v, "login"), login), _handle(_text(v, "blog")), mail_identifier(_text(v, "email"))),
     )
     name = lambda key: _field(v, "full_name", key, N.display_name(_text(v, key)))
     fields = pick(
