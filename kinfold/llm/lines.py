@@ -200,7 +200,7 @@ def banded_distance(left: list[str], right: list[str], threshold: int) -> np.nda
         t[i, : len(b)] = np.frombuffer(b.encode("utf-32-le"), np.uint32) + 1
     full, one = np.uint64((1 << band) - 1), np.uint64(1)
     vp, vn = np.full(n, (((1 << band) - 1) << threshold) & ((1 << band) - 1), np.uint64), np.zeros(n, np.uint64)
-    distance = np.full(n, threshold, np.int64)
+    distance = np.minimum(rows, threshold)
     for j in range(int(cols.max(initial=0))):
         match = np.zeros(n, np.uint64)
         for b in range(band):
@@ -210,7 +210,7 @@ def banded_distance(left: list[str], right: list[str], threshold: int) -> np.nda
         on_diagonal, inside = j < rows - threshold, j < cols
         # The lowest diagonal until it reaches the last row, then along that row.
         drop = (d0 >> np.uint64(band - 1)) & one == 0
-        last = np.clip(band - 2 - (j - np.maximum(rows - threshold, 0)), 0, band - 1).astype(np.uint64)
+        last = np.clip(band - 2 - (j - (rows - threshold)), 0, band - 1).astype(np.uint64)
         along = ((hp >> last) & one).astype(np.int64) - ((hn >> last) & one).astype(np.int64)
         distance += np.where(inside, np.where(on_diagonal, drop, along), 0)
         vp, vn = (hn | ~((d0 >> one) | hp)) & full, (d0 >> one) & hp
