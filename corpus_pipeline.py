@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import lines, packing, quality, simhash, substring
-from kinfold.storage import release, shared_dir
+from kinfold.storage import release, shared_dir, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -38,16 +38,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the smallest id stays; of its repeated rows, one."""
+    """Of each class of near copies one row stays: that with the smallest id, a null id being last, then the smallest text hash."""
     release(spark)  # the input has been written: nothing unread depends on what the last stage staged
-    classes = simhash.near_duplicates(docs)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    # Rows that share an id are one document's; the smallest text stands for them.
-    twice = docs.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_n"), F.min(F.xxhash64("text")).alias("_least"))
-    out = docs.join(keep.join(twice, keep["_kept"].eqNullSafe(twice["_kept"])).select(keep["_kept"], "_n", "_least"), F.col("doc_id").eqNullSafe(F.col("_kept")))
+    h = F.xxhash64("text")
+    # Classes are of texts, not of ids: several texts may share an id, or have none.
+    classes = simhash.near_duplicates(docs.select(h.alias("doc_id"), "text")).select(F.col("doc_id").alias("_text"), F.col("component_id").alias("_class")).distinct()
+    rows = docs.groupBy("doc_id", h.alias("_h")).agg(F.count("*").alias("_n"))
+    least = rows.groupBy("_h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h", "_n")).alias("p"))
+    keep = least.join(classes, F.col("_h") == F.col("_text")).groupBy("_class").agg(F.min("p").alias("p"))
+    keep = stage(keep.select(F.col("p.doc_id").alias("_id"), F.col("p._h").alias("_kept"), F.col("p._n").alias("_n")), "kept-texts")
+    out = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (h == F.col("_kept")))
     once = out.where("_n = 1").select(*COLUMNS)
-    several = out.where((F.col("_n") > 1) & (F.xxhash64("text") == F.col("_least"))).dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return once.union(several)
+    return once.union(out.where("_n > 1").dropDuplicates(["doc_id", "_kept"]).select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +81,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; what lies between them is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+    for k, (_, step) in enumerate(STAGES[:-1]):
+        step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,3 +40,12 @@ def test_empty_documents(spark, small, tmp_path):
         stage(spark, docs, small).write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         assert docs.isEmpty()
+
+
+def test_near_dedup_keeps_a_row_of_each_class(spark):
+    """Texts without an id, and texts that share one, are no copies of one another; repeated rows are."""
+    say = lambda x: " ".join(f"{x}{i}" for i in range(60))
+    rows = [(None, say("a")), (None, say("b")), (None, say("b")), (7, say("c")), (7, say("d")), (7, say("d")), (8, say("d")), (None, say("d")), (9, say("e"))]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter([(None, say("a")), (None, say("b")), (7, say("c")), (7, say("d")), (9, say("e"))])
