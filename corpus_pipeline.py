@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import lines, packing, quality, simhash, substring
+from kinfold.llm import jaccard, lines, packing, quality, simhash, substring
+from kinfold.operators.components import connected_components
 from kinfold.storage import release, shared_dir, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -42,7 +43,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     release(spark)  # the input has been written: nothing unread depends on what the last stage staged
     h = F.xxhash64("text")
     # Classes are of texts, not of ids: several texts may share an id, or have none.
-    classes = simhash.near_duplicates(docs.select(h.alias("doc_id"), "text")).select(F.col("doc_id").alias("_text"), F.col("component_id").alias("_class")).distinct()
+    texts = stage(docs.groupBy(h.alias("h")).agg(F.min("text").alias("text")), "texts")
+    bits = stage(simhash.near_duplicates(texts, "h").select("doc_id", "component_id"), "bits")
+    alike = bits.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(jaccard.links(texts))
+    nodes = connected_components(alike).toDF("_node", "_class")
+    classes = bits.join(nodes, F.col("doc_id") == F.col("_node"), "left").select(F.col("doc_id").alias("_text"), F.coalesce("_class", "doc_id").alias("_class"))
     rows = docs.groupBy("doc_id", h.alias("_h")).agg(F.count("*").alias("_n"))
     least = rows.groupBy("_h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h", "_n")).alias("p"))
     keep = least.join(classes, F.col("_h") == F.col("_text")).groupBy("_class").agg(F.min("p").alias("p"))

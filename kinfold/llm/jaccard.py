@@ -1,0 +1,174 @@
+"""Texts whose sets of word shingles are alike: an exact similarity join by prefixes.
+
+Two texts are near copies if the Jaccard similarity of their sets of ``shingle``-word shingles (lower-cased
+as in ``simhash``) is at least ``similarity``. Sets A and B of that similarity share a shingle among the first
+|A| - ceil(similarity * |A|) + 1 of A and the like of B, in any order of shingles that is the same for all
+texts. So each text writes that prefix as keys, and no pair is lost. The steps:
+
+1. the order puts shingles that are common in a sample of the texts last, so that keys are rare; the sample
+   changes the cost, never the result;
+2. a key's texts are compared with its text of the smallest salted hash. Those that are alike are
+   linked, and the components of the links are made; in a few rounds with other salts, a large
+   group of near copies becomes one component without its pairs being made;
+3. before sets are compared, 256 parities a text (of the numbers of shingles by hash) are: they differ in no more
+   bits than the sets in shingles, so that most pairs that share a key by chance go without their sets;
+4. all pairs of a key's texts that lie in different components by then are compared.
+
+The links connect all texts that are alike; pairs inside a component aren't all listed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kinfold.llm.text import Batch, Rolling, steps
+from kinfold.operators.components import connected_components
+from kinfold.storage import stage
+from kinfold.workers import map_arrow
+
+SHINGLE, SIMILARITY = 5, 0.8
+#: One text in SAMPLE is counted; a shingle of COMMON of them or more goes last, at most ORDERED (the commonest).
+SAMPLE, COMMON, ORDERED = 16, 3, 200_000
+#: Rounds of links to one text of a key before pairs are made.
+ROUNDS = 2
+#: Texts to be compared whose hashes are broadcast to make their sets; beyond, the texts are shuffled.
+BROADCAST_TEXTS = 100_000
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles; of fewer words, one shingle."""
+    b = Batch(texts)
+    b.data = _LOWER[b.data]
+    h, n = b.word_hashes(), np.diff(b.first)
+    rolling, count = Rolling(h, 2), np.where(n == 0, 0, np.maximum(n - shingle + 1, 1))
+    lead = np.repeat(b.first[:-1] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+    found = rolling.of(lead, np.minimum(lead + shingle, np.repeat(b.first[1:], count)))
+    return [np.unique(x) for x in np.split(found, np.cumsum(count)[:-1])] if len(count) else []
+
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """h, s: each text's set; ``docs`` has h and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            yield pa.record_batch([batch.column("h"), _lists(shingle_sets(batch.column("text"), shingle))], names=["h", "s"])
+
+    return map_arrow(docs.select("h", "text"), run, "h long, s array<long>")
+
+
+def _prefixes(docs: DataFrame, shingle: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """key, h, n: the first shingles of each text, n being the size of its set; ``common`` is sorted by hash, with ranks."""
+    hashes, ranks = common
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            out, size = [], []
+            for s in shingle_sets(batch.column("text"), shingle):
+                take = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1 if len(s) else 0
+                if len(hashes) and len(s):
+                    at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
+                    s = s[np.lexsort((s, np.where(hashes[at] == s, ranks[at], -1)))]
+                out.append(s[:take])
+                size.append(len(s))
+            row = np.repeat(np.arange(len(out)), [len(x) for x in out])
+            keys = np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64)
+            yield pa.record_batch([pa.array(keys), batch.column("h").take(pa.array(row)), pa.array(np.array(size, np.int32)[row])], names=["key", "h", "n"])
+
+    return map_arrow(docs.select("h", "text"), run, "key long, h long, n int")
+
+
+def _parities(docs: DataFrame, shingle: int) -> DataFrame:
+    """h, n, p0 to p3: the size of each text's set, and whether the number of its shingles of each of 256 hash classes is odd."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            sets = shingle_sets(batch.column("text"), shingle)
+            odd = np.zeros((len(sets), 256), np.uint8)
+            for i, s in enumerate(sets):
+                odd[i] = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+            p = np.packbits(odd, axis=1).view(np.int64)
+            size = pa.array(np.array([len(s) for s in sets], np.int32))
+            yield pa.record_batch([batch.column("h"), size, *(pa.array(np.ascontiguousarray(p[:, k])) for k in range(4))], names=["h", "n", "p0", "p1", "p2", "p3"])
+
+    return map_arrow(docs.select("h", "text"), run, "h long, n int, p0 long, p1 long, p2 long, p3 long")
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, parities: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Of a, b those whose sets are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            columns = [batch.column(k) for k in ("sa", "sb")]
+            flat = [(c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy()) for c in columns]
+            for i in range(batch.num_rows):
+                x, y = (v[o[i] : o[i + 1]] for v, o in flat)
+                shared = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+                near.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+            near = pa.array(near, pa.bool_())
+            yield pa.record_batch([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
+
+    ends = [parities.select(*[F.col(c).alias(c + end) for c in parities.columns]) for end in "ab"]
+    differ = sum((F.bit_count(F.col(f"p{k}a").bitwiseXOR(F.col(f"p{k}b"))) for k in range(4)), F.lit(0))
+    most = (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    near = pairs.join(ends[0], F.col("a") == F.col("ha")).join(ends[1], F.col("b") == F.col("hb")).where(differ <= most)
+    near = stage(near.select("a", "b"), "near-pairs")
+    wanted = stage(near.select(F.col("a").alias("w")).union(near.select("b")).distinct(), "wanted-texts")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_TEXTS else wanted
+    sets = stage(_sets(docs.join(few, F.col("h") == F.col("w")), shingle), "shingle-sets")
+    left, right = sets.toDF("ha", "sa"), sets.toDF("hb", "sb")
+    return map_arrow(near.join(left, F.col("a") == F.col("ha")).join(right, F.col("b") == F.col("hb")).select("a", "b", "sa", "sb"), run, "a long, b long")
+
+
+def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that are common in the sample, sorted, and their ranks from the rarest."""
+    part = docs.where(F.pmod(F.xxhash64("h"), F.lit(SAMPLE)) == 0)
+    counts = _sets(part, shingle).select(F.explode("s").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    found = counts.orderBy(F.desc("n"), "key").limit(ORDERED).toPandas()
+    hashes, n = found["key"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    by = np.argsort(hashes)
+    return hashes[by], n[by]
+
+
+def links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: text hashes that are alike, enough of the pairs to connect all that are; ``docs`` has h (one row each) and text."""
+    common = _common(docs, shingle)
+    keys = stage(_prefixes(docs, shingle, similarity, common), "prefixes")
+    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    keys = stage(keys.join(shared, "key").select("key", "h", "n"), "shared-prefixes")
+    parities = stage(_parities(docs, shingle), "parities")
+    size_fits = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
+    found = None
+    placed = keys.withColumn("c", F.col("h"))
+    for salt in range(ROUNDS):
+        # A key whose texts are in one component has nothing left to link.
+        least = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", F.lit(salt)).alias("o"), "h", "n", "c")).alias("p"), F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y")
+        star = placed.join(least.select(F.col("key").alias("k"), "p"), F.col("key") == F.col("k")).where((F.col("p.c") != F.col("c")) & size_fits(F.col("p.n"), F.col("n")))
+        star = stage(star.select(F.least("h", "p.h").alias("a"), F.greatest("h", "p.h").alias("b")).distinct(), "stars")
+        alike = _alike(star, docs, parities, shingle, similarity)
+        found = stage(alike if found is None else found.union(alike), "alike")
+        placed = stage(_placed(keys, found), "placed")
+    many = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select(F.col("key").alias("k"))
+    rest = stage(placed.join(many, F.col("key") == F.col("k")).select("key", "h", "n", "c"), "open-keys")
+    left, right = rest.toDF("key", "a", "na", "ca"), rest.toDF("key", "b", "nb", "cb")
+    pairs = left.join(right, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & size_fits(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    return found.union(stage(_alike(stage(pairs, "open-pairs"), docs, parities, shingle, similarity), "alike"))
+
+
+def _placed(keys: DataFrame, found: DataFrame) -> DataFrame:
+    """``keys`` with the component c of each text."""
+    nodes = connected_components(found)
+    return keys.join(nodes, F.col("h") == F.col("node"), "left").select("key", "h", "n", F.coalesce("component", "h").alias("c"))

@@ -1,10 +1,11 @@
 """The five stages: each does its whole job on what its predecessor kept."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
-from kinfold.llm import quality
-from tests.llm.test_text_dedup import WORD, brute_windows, edit, fingerprint
+from kinfold.llm import jaccard, quality
+from tests.llm.test_text_dedup import WORD, brute_components, brute_windows, edit, fingerprint
 
 
 def test_stages(spark, small, tmp_path):
@@ -49,3 +50,45 @@ def test_near_dedup_keeps_a_row_of_each_class(spark):
     docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     found = corpus_pipeline.near_dedup(spark, docs, "").collect()
     assert Counter((r.doc_id, r.text) for r in found) == Counter([(None, say("a")), (None, say("b")), (7, say("c")), (7, say("d")), (9, say("e"))])
+
+
+def shingles(text, n=5):
+    w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    return {tuple(w[i : i + n]) for i in range(max(len(w) - n + 1, 1))} if w else set()
+
+
+def alike(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def planted():
+    """Pairs at similarities about 0.8, and a group of copies of one base whose members aren't all alike."""
+    r = random.Random(3)
+    say = lambda n: [r.choice("abcdefgh") + str(r.randrange(400)) for _ in range(n)]
+    def change(words, k):
+        words = list(words)
+        for i in r.sample(range(len(words)), k):
+            words[i] = f"New{r.randrange(10**6)}"
+        return words
+    texts = [say(r.randint(1, 120)) for _ in range(20)]
+    for k in (1, 2, 3, 4, 5, 6, 7, 8):
+        base = say(260)
+        texts += [base, change(base, k)]
+    base = say(150)
+    texts += [change(base, r.randint(0, 3)) for _ in range(60)]
+    return [" ".join(x) for x in texts]
+
+
+def test_near_copies_by_similarity(spark):
+    """The classes of 5-word shingles at 0.8 or more are found whole; more of it than two bits of a SimHash find."""
+    texts = planted()
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    fps = [fingerprint(t) for t in texts]
+    near = lambda i, j: alike(texts[i], texts[j]) or bin(fps[i] ^ fps[j]).count("1") <= 2
+    component = brute_components(range(len(texts)), near)
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == set(component.values())
+    hashed = docs.selectExpr("doc_id AS h", "text")
+    links = {(r.a, r.b) for r in jaccard.links(hashed).collect()}
+    assert all(alike(texts[a], texts[b]) for a, b in links)
+    assert brute_components(range(len(texts)), lambda i, j: (i, j) in links or (j, i) in links) == brute_components(range(len(texts)), lambda i, j: alike(texts[i], texts[j]))
