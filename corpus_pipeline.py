@@ -34,8 +34,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal and nearly equal lines the first stays."""
-    return _documents(lines.dedup_lines(docs))
+    """Of equal and nearly equal lines the first stays; of short lines, of equal ones only."""
+    return _documents(lines.dedup_lines(docs, short=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
 Two lines are near copies if their edit distance (insert, delete, substitute one code point) is at
-most ``threshold``; lines below ``min_chars`` code points take no part. The steps:
+most ``threshold`` and both have ``min_chars`` code points; with ``short``, shorter lines that aren't blank
+take part too, as copies of equal lines only. The steps:
 
 1. equal lines become one (by a 128-bit hash), with their first place (doc_id, line number);
 2. a line of length l is cut into threshold + 1 segments. A line within the threshold has one of them
@@ -16,7 +17,7 @@ Links join lines into classes; a class keeps its first line. Keys are dealt by h
 sorted order; a key with very many lines is compared block by block, in bounded memory. A line that a
 task has seen isn't written again, so that a line with most of the rows is a few rows a key.
 
-Defined results: null text has no lines; empty and short lines are kept and have no class; repeated rows and
+Defined results: null text has no lines; blank lines, and without ``short`` those below ``min_chars``, are kept and have no class; repeated rows and
 rows that share a doc_id share places, so that the first place of a class is kept in each of them; a
 document with a null id stands before all others; an empty table gives no rows; other columns pass.
 """
@@ -65,18 +66,23 @@ class Lines:
     def take(self, keep: np.ndarray) -> None:
         self.start, self.stop, self.text, self.number = (x[keep] for x in (self.start, self.stop, self.text, self.number))
 
+    def blank(self) -> np.ndarray:
+        """Lines of nothing but spaces and control characters of that kind."""
+        words = np.concatenate(([0], np.cumsum((self.codes != 32) & ((self.codes < 9) | (self.codes > 13)))))
+        return words[self.stop] == words[self.start]
+
     def hashes(self, which: int) -> tuple[np.ndarray, Rolling]:
         rolling = Rolling(self.codes, which)
         return rolling.of(self.start, self.stop), rolling
 
 
-def line_places(docs: DataFrame, min_chars: int) -> DataFrame:
+def line_places(docs: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
     """doc_id, text_hash, line, h1, h2 of every line that takes part; ``docs`` has doc_id, text, text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", STEP):
             x = Lines(batch.column("text"))
-            x.take(x.stop - x.start >= min_chars)
+            x.take((x.stop - x.start >= min_chars) | (short & ~x.blank()))
             (h1, _), (h2, _) = x.hashes(1), x.hashes(2)
             row = pa.array(x.text)
             yield pa.record_batch(
@@ -231,9 +237,9 @@ def verified(pairs: DataFrame, threshold: int) -> DataFrame:
     return map_arrow(pairs, run, "a long, b long")
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """doc_id, text_hash, line, first (doc_id and line of its class), n_links of every line that takes part."""
-    places = stage(line_places(docs, min_chars), "lines")
+    places = stage(line_places(docs, min_chars, short), "lines")
     place = F.struct("doc_id", "line")
     distinct = stage(places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("p")), "distinct-lines")
     pairs = stage(candidate_pairs(line_keys(docs, threshold, min_chars), threshold), "line-pairs")
@@ -262,9 +268,9 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """``docs`` with the lines removed that aren't the first of their class; n_removed counts them."""
-    classes = line_classes(_keyed(docs, doc_id, text), threshold, min_chars)
+    classes = line_classes(_keyed(docs, doc_id, text), threshold, min_chars, short)
     gone = classes.where(~F.col("kept")).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("_gone")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     joined = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (hashed == F.col("_h")), "left")
@@ -274,5 +280,5 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_classes(_keyed(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text"))
+    found = line_classes(_keyed(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text"), short=True)
     return found.select("doc_id", "line", F.col("first.doc_id").alias("class_doc_id"), F.col("first.line").alias("class_line"), "n_links", "kept")

@@ -136,6 +136,18 @@ def test_lines_are_removed(spark):
     assert got == {1: (f"{line}\nsame\nsame", 0), 2: ("other words\n", 1), 3: (None, 0), 4: ("", 0)}
 
 
+def test_short_lines(spark, tmp_path):
+    """Equal short lines are one class, near ones aren't; blank lines have none."""
+    line = "a line that is long enough to count"
+    rows = [(1, f"{line}\nsame\nsame\n \t\n\n}}"), (2, f"sama\n{line}!\n}}\n \t"), (3, "same"), (4, None)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.line): (r.class_doc_id, r.class_line, r.n_links, r.kept) for r in lines.op1_line_dedup(spark, str(tmp_path)).collect()}
+    own = {(1, 0): (1, 0, 1, True), (1, 1): (1, 1, 0, True), (1, 5): (1, 5, 0, True), (2, 0): (2, 0, 0, True)}
+    assert got == own | {(1, 2): (1, 1, 0, False), (2, 1): (1, 0, 1, False), (2, 2): (1, 5, 0, False), (3, 0): (1, 1, 0, False)}
+    kept = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(frame(spark, rows), short=True).collect()}
+    assert kept == {1: (f"{line}\nsame\n \t\n\n}}", 1), 2: ("sama\n \t", 2), 3: ("", 1), 4: (None, 0)}
+
+
 @pytest.mark.parametrize("run", [simhash.near_duplicates, substring.remove_repeats, lines.dedup_lines])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).count() == 0
