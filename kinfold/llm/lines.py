@@ -14,7 +14,9 @@ take part too, as copies of equal lines only. The steps:
 4. candidates are verified by the banded bit-parallel edit distance, all pairs of a batch in step.
 
 Links join lines into classes; a class keeps its first line. Keys are dealt by hash and streamed in
-sorted order; a key with very many lines is compared block by block, in bounded memory. A line that a
+sorted order. A key with more than HOT lines (counted on a sample of lines, so about) is dealt onto pairs of
+salted blocks: each block of index lines meets each block of probes under a key of its own, so that a task
+holds two blocks at a time and the pairs of a key are spread over the tasks. A line that a
 task has seen isn't written again, so that a line with most of the rows is a few rows a key.
 
 Defined results: null text has no lines; blank lines, and without ``short`` those below ``min_chars``, are kept and have no class; repeated rows and
@@ -40,6 +42,8 @@ THRESHOLD = 2
 MIN_CHARS = 20
 #: Line hashes that a task remembers, and lines of a key compared at a time.
 SEEN, BLOCK = 400_000, 1024
+#: Lines of a key from which it is dealt onto block pairs; one line in SAMPLE is counted.
+HOT, SAMPLE = 4096, 16
 #: Lines whose place is broadcast to fetch their text; beyond, the documents are shuffled.
 BROADCAST_LINES = 100_000
 
@@ -114,8 +118,11 @@ def segment_keys(x: Lines, rolling: Rolling, threshold: int, min_chars: int) ->
                 yield at, rolling.of((x.start + a + move)[at], (x.start + b + move)[at]) ^ tag(other[at], i), INDEX | PROBE if own else PROBE
 
 
-def line_keys(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """key, h1, info: info holds the parities of character counts, the length, and whether the key is of the index or a probe."""
+def line_keys(docs: DataFrame, threshold: int, min_chars: int, hot: tuple[np.ndarray, np.ndarray] | None = None, sample: int = 1) -> DataFrame:
+    """key, h1, info: info holds the parities of character counts, the length, and whether the key is of the index or a probe.
+
+    ``hot`` has keys (sorted) and into how many blocks to deal each; of ``sample`` lines one is taken, by its hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -125,7 +132,7 @@ def line_keys(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
             h1, rolling = x.hashes(1)
             if len(seen) > SEEN:
                 seen = set()
-            fresh = np.array([h not in seen and not seen.add(h) for h in h1.tolist()], bool)
+            fresh = np.array([h % sample == 0 and h not in seen and not seen.add(h) for h in h1.tolist()], bool)
             x.take(fresh)
             if not len(x.start):
                 continue
@@ -134,11 +141,41 @@ def line_keys(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
             running = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bit)))
             info = ((running[x.stop] ^ running[x.start]) << np.uint64(16)) | ((length.astype(np.uint64) & _LENGTH) << np.uint64(2))
             for at, key, kind in segment_keys(x, rolling, threshold, min_chars):
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(h1[at].view(np.int64)), pa.array((info[at] | kind).view(np.int64))], names=["key", "h1", "info"])
+                for k, h, i in dealt_keys(key, h1[at], info[at] | kind, hot):
+                    yield pa.record_batch([pa.array(k.view(np.int64)), pa.array(h.view(np.int64)), pa.array(i.view(np.int64))], names=["key", "h1", "info"])
 
     return map_arrow(docs.select("text"), run, "key long, h1 long, info long")
 
 
+def dealt_keys(key: np.ndarray, h: np.ndarray, info: np.ndarray, hot: tuple[np.ndarray, np.ndarray] | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows; those of hot keys once for each block of the other kind, under the key of that pair of blocks."""
+    if hot is None or not len(hot[0]):
+        yield key, h, info
+        return
+    at = np.minimum(np.searchsorted(hot[0], key), len(hot[0]) - 1)
+    is_hot = hot[0][at] == key
+    yield key[~is_hot], h[~is_hot], info[~is_hot]
+    if not is_hot.any():
+        return
+    key, h, info, blocks = key[is_hot], h[is_hot], info[is_hot], hot[1][at[is_hot]].astype(np.uint64)
+    own = mix(h ^ key) % blocks
+    for other in range(int(blocks.max())):
+        other = np.uint64(other)
+        for kind in (INDEX, PROBE):
+            on = np.flatnonzero((blocks > other) & (info & kind > 0))
+            i, j = (own[on], other) if kind == INDEX else (other, own[on])
+            yield mix(key[on] + mix(i * np.uint64(1 << 32) + j + np.uint64(1))), h[on], info[on] & ~(INDEX | PROBE) | kind
+
+
+def hot_keys(docs: DataFrame, threshold: int, min_chars: int, hot: int = HOT, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (sorted) of more than about ``hot`` lines, and into how many blocks to deal each."""
+    counts = line_keys(docs, threshold, min_chars, sample=sample).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * sample > hot)
+    found = counts.toPandas()
+    keys, n = found["key"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64) * sample
+    by = np.argsort(keys)
+    return keys[by], -(-n[by] // hot)
+
+
 def _candidates(h: np.ndarray, info: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one key's index rows and probe rows that lengths and parities allow, block by block."""
     left, right = np.flatnonzero(info & INDEX), np.flatnonzero(info & PROBE)
@@ -242,7 +279,7 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
     places = stage(line_places(docs, min_chars, short), "lines")
     place = F.struct("doc_id", "line")
     distinct = stage(places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line", "text_hash")).alias("p")), "distinct-lines")
-    pairs = stage(candidate_pairs(line_keys(docs, threshold, min_chars), threshold), "line-pairs")
+    pairs = stage(candidate_pairs(line_keys(docs, threshold, min_chars, hot_keys(docs, threshold, min_chars)), threshold), "line-pairs")
     # The text of candidates, from the first place of each.
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     wanted = stage(distinct.join(wanted, F.col("h1") == F.col("h")).groupBy(F.col("p.doc_id").alias("d"), F.col("p.text_hash").alias("t")).agg(F.collect_list(F.struct("h", "p.line")).alias("l")), "wanted")

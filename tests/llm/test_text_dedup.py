@@ -148,6 +148,20 @@ def test_short_lines(spark, tmp_path):
     assert kept == {1: (f"{line}\nsame\n \t\n\n}}", 1), 2: ("sama\n \t", 2), 3: ("", 1), 4: (None, 0)}
 
 
+def test_hot_line_keys(spark):
+    """Lines that share a key are dealt out: no task's group holds them all, and no candidate is lost."""
+    r = random.Random(9)
+    texts = ["a template of one length with a number " + "".join(r.choice("0123456789") for _ in range(r.choice((5, 6)))) for _ in range(600)]
+    docs = frame(spark, list(enumerate(texts))).repartition(3)
+    hot = lines.hot_keys(docs, 2, 20, hot=50, sample=1)
+    assert len(hot[0]) and hot[1].max() >= 4
+    plain, dealt = lines.line_keys(docs, 2, 20), lines.line_keys(docs, 2, 20, hot)
+    largest = lambda keys: keys.groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert largest(dealt) <= 200 < 250 < largest(plain)
+    pairs = lambda keys: {(x.a, x.b) for x in lines.candidate_pairs(keys, 2).collect()}
+    assert len(pairs(plain)) > 100 and pairs(plain) == pairs(dealt)
+
+
 @pytest.mark.parametrize("run", [simhash.near_duplicates, substring.remove_repeats, lines.dedup_lines])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).count() == 0
