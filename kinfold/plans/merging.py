@@ -111,6 +111,23 @@ def survivor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.join(first, "user_id").groupBy("component").agg(F.min_by("user_id", F.struct("first_seen", "user_id")).alias("survivor"), F.min("first_seen").alias("first_seen"), F.count("*").alias("members"))
 
 
+#: Of all events; the recursion goes over keys alone, since a component's smallest node is a key.
+_ALL_COMPONENTS_SQL = """
+WITH RECURSIVE e AS (SELECT DISTINCT 'u' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS a, 'k' || json_extract_string(props, '$.k') AS b FROM events),
+s AS (SELECT DISTINCT x.b AS a, y.b FROM e x JOIN e y ON x.a = y.a),
+r AS (SELECT DISTINCT b AS node, b AS reach FROM e UNION SELECT r.node, s.b FROM r JOIN s ON r.reach = s.a),
+k AS (SELECT node, min(reach) AS component FROM r GROUP BY node)
+SELECT node, component FROM k UNION SELECT e.a, k.component FROM e JOIN k ON e.b = k.node
+"""
+
+
+@query("q47_components_all", _ALL_COMPONENTS_SQL)
+def components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q20_components without its filter: users and keys of every event."""
+    user = F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 12, "0"))
+    return connected_components(table(spark, sf_dir, "events").select(user.alias("a"), F.concat(F.lit("k"), _k().cast("string")).alias("b")))
+
+
 def observations(events: DataFrame) -> DataFrame:
     """Events as observations of one field of their user; small values say nothing."""
     rank = F.create_map(*[F.lit(x) for pair in _RANKS.items() for x in pair])
