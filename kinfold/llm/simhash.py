@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.text import Batch, steps
+from kinfold.llm.text import Batch, lowered, steps
 from kinfold.operators.components import connected_components
 from kinfold.storage import stage
 from kinfold.workers import map_arrow
@@ -41,8 +41,6 @@ from kinfold.workers import map_arrow
 BUCKET = 130
 #: Cost of a probe key in units of a candidate pair.
 KEY_COST = 2.0
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 def simhashes(texts: pa.Array, shingle: int = 3) -> np.ndarray:
@@ -50,7 +48,7 @@ def simhashes(texts: pa.Array, shingle: int = 3) -> np.ndarray:
     import xxhash
 
     b = Batch(texts)
-    data, size = _LOWER[b.data], b.stop - b.start
+    data, size = lowered(b.data), b.stop - b.start
     # The words of all texts, lower-cased and joined by one space.
     place = np.concatenate(([0], np.cumsum(size + 1)))
     joined = np.full(place[-1], 32, np.uint8)

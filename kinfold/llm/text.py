@@ -20,6 +20,8 @@ STEP_BYTES = 4_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -28,6 +30,11 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), F.array().cast("array<string>"))
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A to Z in lower case."""
+    return _LOWER[data]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64's finaliser: every bit of the input reaches every bit of the output."""
     x = x.astype(np.uint64, copy=True)

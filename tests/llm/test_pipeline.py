@@ -4,7 +4,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from kinfold.llm import jaccard, quality
+from kinfold.llm import alike as similar
+from kinfold.llm import quality
 from tests.llm.test_text_dedup import WORD, brute_components, brute_windows, edit, fingerprint
 
 
@@ -24,7 +25,7 @@ def test_stages(spark, small, tmp_path):
     lines = [s for r in lined for s in r.text.split("\n") if len(s) >= 20]
     assert len(lines) == len(set(lines))
     assert not any(abs(len(a) - len(b)) <= 2 and edit(a, b) <= 2 for i, a in enumerate(sorted(lines)) for b in sorted(lines)[i + 1 : i + 3] if len(a) < 400)
-    fps = [fingerprint(r.text) for r in near]
+    fps = [fingerprint(r.text, 5) for r in near]
     assert not any(bin(a ^ b).count("1") <= 2 for i, a in enumerate(fps) for b in fps[i + 1 :])
     assert len(near) < len({r.doc_id for r in start})
     want = {i: n - gone for i, n, gone, _ in brute_windows([(r.doc_id, r.text) for r in near], 35)}
@@ -84,11 +85,11 @@ def test_near_copies_by_similarity(spark):
     """The classes of 5-word shingles at 0.8 or more are found whole; more of it than two bits of a SimHash find."""
     texts = planted()
     docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
-    fps = [fingerprint(t) for t in texts]
+    fps = [fingerprint(t, 5) for t in texts]
     near = lambda i, j: alike(texts[i], texts[j]) or bin(fps[i] ^ fps[j]).count("1") <= 2
     component = brute_components(range(len(texts)), near)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == set(component.values())
     hashed = docs.selectExpr("doc_id AS h", "text")
-    links = {(r.a, r.b) for r in jaccard.links(hashed).collect()}
+    links = {(r.a, r.b) for r in similar.links(hashed).collect()}
     assert all(alike(texts[a], texts[b]) for a, b in links)
     assert brute_components(range(len(texts)), lambda i, j: (i, j) in links or (j, i) in links) == brute_components(range(len(texts)), lambda i, j: alike(texts[i], texts[j]))

@@ -46,9 +46,9 @@ def brute_components(nodes, linked):
     return {n: root(n) for n in nodes}
 
 
-def fingerprint(text):
+def fingerprint(text, n=3):
     w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    shingles = [" ".join(w[i : i + 3]) for i in range(max(len(w) - 2, 1))] if w else []
+    shingles = [" ".join(w[i : i + n]) for i in range(max(len(w) - n + 1, 1))] if w else []
     h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
