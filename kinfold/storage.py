@@ -5,16 +5,20 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: dict[int, list[str]] = {}
+_recorders: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests, local mode)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset and the master is local (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="kinfold-")
         spark.sparkContext.setCheckpointDir(folder)
         _delete_at_exit(folder)
@@ -31,21 +35,32 @@ def stage(df: DataFrame, name: str, *, partition_by: list[str] | None = None) ->
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     The lineage ends at the files, so a lost executor costs only the tasks that were
-    running, and what follows can read the table more than once. ``release`` deletes
-    what a session has staged.
+    running, and what follows can read the table more than once.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/kinfold-{name}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    _written.setdefault(id(spark._jsparkSession), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table staged so far; call it only when nothing unread depends on them."""
-    jvm = spark._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written.pop(id(spark._jsparkSession), []):
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables staged inside, as a handle for ``release``."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders[:] = [r for r in _recorders if r is not paths]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these tables, once what reads them has been written."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+    paths.clear()
