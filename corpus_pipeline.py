@@ -9,13 +9,14 @@ without words by a stage go with it.
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import jaccard, lines, packing, quality, simhash, substring
+from kinfold.llm import alike, lines, packing, quality, simhash, substring
 from kinfold.operators.components import connected_components
-from kinfold.storage import release, shared_dir, stage
+from kinfold.storage import recorded, release, shared_dir, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,6 +27,25 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.where(packing.n_words(F.col("text")) > 0).select(*COLUMNS)
 
 
+#: Tables that the chain's latest stage has staged, by session.
+_made: dict[str, list[str]] = {}
+
+
+def _stage(step):
+    """A stage of the chain: its input has been written, so that what the chain's last stage staged goes."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _made.pop(spark.sparkContext.applicationId, []))
+        with recorded() as paths:
+            found = step(spark, docs, sf_dir)
+        _made[spark.sparkContext.applicationId] = list(paths)
+        return found
+
+    return run
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -33,20 +53,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, cutoffs).where("kept").select(*COLUMNS)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal and nearly equal lines the first stays; of short lines, of equal ones only."""
     return _documents(lines.dedup_lines(docs, short=True))
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies one row stays: that with the smallest id, a null id being last, then the smallest text hash."""
-    release(spark)  # the input has been written: nothing unread depends on what the last stage staged
-    h = F.xxhash64("text")
+    """Of each class of near copies one row stays: that with the smallest id, a null id being last, then the smallest text hash.
+
+    Near copies: SimHashes of 5-word shingles within two bits, or sets of 5-word shingles alike at 0.8 or more.
+    """
     # Classes are of texts, not of ids: several texts may share an id, or have none.
-    texts = stage(docs.groupBy(h.alias("h")).agg(F.min("text").alias("text")), "texts")
-    bits = stage(simhash.near_duplicates(texts, "h").select("doc_id", "component_id"), "bits")
-    alike = bits.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(jaccard.links(texts))
-    nodes = connected_components(alike).toDF("_node", "_class")
+    h = F.xxhash64("text")
+    texts = docs.select(h.alias("h"), "text")
+    bits = stage(simhash.near_duplicates(texts, "h", shingle=alike.SHINGLE).select("doc_id", "component_id").distinct(), "bits")
+    near = bits.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(alike.links(texts))
+    nodes = connected_components(near).toDF("_node", "_class")
     classes = bits.join(nodes, F.col("doc_id") == F.col("_node"), "left").select(F.col("doc_id").alias("_text"), F.coalesce("_class", "doc_id").alias("_class"))
     rows = docs.groupBy("doc_id", h.alias("_h")).agg(F.count("*").alias("_n"))
     least = rows.groupBy("_h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h", "_n")).alias("p"))
@@ -57,16 +81,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.union(out.where("_n > 1").dropDuplicates(["doc_id", "_kept"]).select(*COLUMNS))
 
 
+@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside passages that repeat go; texts without such passages stay as they are."""
-    release(spark)
     found = substring.remove_repeats(docs)
     return _documents(found.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))))
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences in length buckets and token-budget batches."""
-    release(spark)
     return packing.pack(docs, packing.n_words(F.col("text")))
 
 
