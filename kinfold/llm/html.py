@@ -11,8 +11,8 @@ A text block belongs to its nearest block element; blocks of nodes with a margin
 joined in page order by one ``\\n``. White space inside a block, ``<br>`` included, becomes one space.
 
 Defined results: null html is an empty page; a page without content has the text ``""``; unclosed and
-stray tags are closed or ignored as browsers do for paragraphs, items and cells; nesting deeper than
-``MAX_DEPTH`` joins its ancestor at that depth; repeated rows are each extracted; extra columns are left out;
+stray tags are closed or ignored as browsers do for paragraphs, items and cells; marked sections are comments;
+nesting may be of any depth; repeated rows are each extracted; extra columns are left out;
 an empty table gives no rows.
 """
 
@@ -29,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from kinfold.llm.text import steps
 from kinfold.workers import map_arrow
 
 TRAINING_PAGES = 300
-MAX_DEPTH = 120
 
 #: Kinds of block elements; elements in none of these are inline.
 KINDS = {
@@ -54,6 +54,10 @@ KINDS = {
 KIND = {tag: i for i, tags in enumerate(KINDS.values()) for tag in tags}
 #: Elements whose text is never shown.
 HIDDEN = ("script", "style", "head", "title", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "datalist")
+#: What may stand in the head; any other element ends it.
+HEAD = ("head", "title", "meta", "link", "style", "script", "base", "noscript", "template")
+#: A document type with declarations of its own.
+INTERNAL_SUBSET = re.compile(r"(?i)<!doctype[^>\[]*\[[^\]]*\]\s*>")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 #: A start tag on the left closes open elements on the right, up to the nearest of the last group.
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",)), "option": (("option",), ("select",))}
@@ -87,11 +91,17 @@ class Tree:
 
 
 class _Reader(HTMLParser):
-    def __init__(self):
+    """Builds the tree; with ``labelled``, elements that carry ``data-content="1"`` are content (training pages only)."""
+
+    def __init__(self, labelled: bool = False):
         super().__init__(convert_charrefs=True)
         self.tree = Tree()
+        self.labelled = labelled
+        # Open elements with their nodes, and where in that stack each tag stands.
         self.open: list[tuple[str, int]] = [("", 0)]
-        self.hidden = ""
+        self.places: dict[str, list[int]] = {}
+        self.hidden, self.nested = "", 0
+        # How many elements were open where the open link began; 0 outside links.
         self.link = 0
         self.buffer: list[str] = []
         self.linked = 0
@@ -102,53 +112,68 @@ class _Reader(HTMLParser):
             self.tree.blocks.append((self.open[-1][1], text, self.linked))
         self.buffer, self.linked = [], 0
 
+    def cut(self, size: int) -> None:
+        """Close elements until ``size`` are open."""
+        while len(self.open) > size:
+            self.places[self.open.pop()[0]].pop()
+        if size < self.link:
+            self.link = 0
+
+    def last(self, *tags: str) -> int:
+        """Where the innermost open element of these tags stands, or 0."""
+        return max(self.places[t][-1] if self.places.get(t) else 0 for t in tags)
+
+    def parse_html_declaration(self, i):
+        # Marked sections are comments up to the next bracket, as browsers have it.
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
     def handle_starttag(self, tag, attrs):
+        if self.hidden == "head" and tag not in HEAD:
+            self.hidden = ""
         if self.hidden:
+            self.nested += tag == self.hidden
             return
         if tag in HIDDEN:
-            self.hidden = tag
+            self.hidden, self.nested = tag, 1
             return
         if tag == "br":
             self.buffer.append(" ")
             return
         if tag == "a":
-            self.link = 1
+            self.link = len(self.open)
             return
         if tag not in KIND:
             return
         self.flush()
-        self.link = 0
         self._close_before(tag)
         if tag in VOID:
             return
-        t = self.tree
-        node = self.open[-1][1]
-        if len(self.open) < MAX_DEPTH:
-            values = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower()
-            t.parent.append(node)
-            t.depth.append(t.depth[node] + 1)
-            t.kind.append(KIND[tag])
-            t.hints.append({HINT_OF[w] for part in re.split(r"[\s_]+", values) for w in (part, *part.split("-")) if w in HINT_OF})
-            t.label.append(int(next((v for k, v in attrs if k == "data-content"), None) or 0))
-            node = len(t.parent) - 1
-        self.open.append((tag, node))
+        t, node = self.tree, self.open[-1][1]
+        given = dict(attrs)
+        values = " ".join(given.get(k) or "" for k in ("class", "id", "role")).lower()
+        t.parent.append(node)
+        t.depth.append(t.depth[node] + 1)
+        t.kind.append(KIND[tag])
+        t.hints.append({HINT_OF[w] for part in re.split(r"[\s_]+", values) for w in (part, *part.split("-")) if w in HINT_OF})
+        t.label.append(int(self.labelled and given.get("data-content") == "1"))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, len(t.parent) - 1))
 
     def _close_before(self, tag):
-        names = [x for x, _ in self.open]
         if tag in CLOSES:
             closed, stop = CLOSES[tag]
-            for i in range(len(names) - 1, 0, -1):
-                if names[i] in stop:
-                    break
-                if names[i] in closed:
-                    del self.open[i:]
-                    break
-        elif "p" in names and tag not in ("td", "th", "tr"):
-            del self.open[len(names) - 1 - names[::-1].index("p") :]
+            at = self.last(*closed)
+            if at > self.last(*stop):
+                self.cut(at)
+        elif tag not in ("td", "th", "tr") and (at := self.last("p")):
+            self.cut(at)
 
     def handle_endtag(self, tag):
         if self.hidden:
-            if tag == self.hidden or (self.hidden == "title" and tag == "head"):
+            self.nested -= tag == self.hidden
+            if not self.nested or (self.hidden == "title" and tag == "head"):
                 self.hidden = ""
             return
         if tag == "a":
@@ -156,10 +181,8 @@ class _Reader(HTMLParser):
         if tag not in KIND:
             return
         self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                break
+        if at := self.last(tag):
+            self.cut(at)
 
     def handle_startendtag(self, tag, attrs):
         if tag == "br" or tag in VOID:
@@ -168,13 +191,12 @@ class _Reader(HTMLParser):
     def handle_data(self, data):
         if not self.hidden:
             self.buffer.append(data)
-            self.linked += self.link * len(data)
+            self.linked += bool(self.link) * len(data)
 
 
-def read_page(html: str) -> Tree:
-    reader = _Reader()
-    # A body without an end of head: what follows <body> is shown.
-    reader.feed(re.sub(r"(?i)<head\b[^>]*>(?![\s\S]*</head)", "", html))
+def read_page(html: str, labelled: bool = False) -> Tree:
+    reader = _Reader(labelled)
+    reader.feed(INTERNAL_SUBSET.sub("", html))
     reader.close()
     reader.flush()
     return reader.tree
@@ -191,6 +213,11 @@ class Forest:
     first: np.ndarray
 
 
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of each depth, from the roots."""
+    return np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1]) if len(depth) else []
+
+
 def forest(trees: list[Tree]) -> Forest:
     sizes = [len(t.parent) for t in trees]
     first = np.concatenate(([0], np.cumsum(sizes)))
@@ -203,8 +230,7 @@ def forest(trees: list[Tree]) -> Forest:
             chars[f + node] += len(text)
             linked[f + node] += min(n, len(text))
     own = chars.copy()
-    for d in range(depth.max(initial=0), 0, -1):
-        at = np.flatnonzero(depth == d)
+    for at in _levels(depth)[:0:-1]:
         np.add.at(chars, parent[at], chars[at])
         np.add.at(linked, parent[at], linked[at])
     x = np.zeros((len(parent), N_FEATURES))
@@ -234,7 +260,7 @@ def sum_product(f: Forest, w: Weights) -> tuple[np.ndarray, np.ndarray]:
     up = np.zeros((n, 2))
     up[:, 1] = f.features @ w.unary
     psi, message = w.pair[f.kind], np.zeros((n, 2))
-    levels = [np.flatnonzero(f.depth == d) for d in range(f.depth.max(initial=0) + 1)]
+    levels = _levels(f.depth)
     for at in levels[:0:-1]:
         message[at] = np.logaddexp.reduce(up[at][:, None, :] + psi[at], axis=2)
         np.add.at(up, f.parent[at], message[at])
@@ -335,7 +361,7 @@ def labelled_pages(n: int, seed: int = 0) -> list[str]:
 
 @lru_cache(maxsize=1)
 def trained() -> Weights:
-    return fit([read_page(x) for x in labelled_pages(TRAINING_PAGES)])
+    return fit([read_page(x, labelled=True) for x in labelled_pages(TRAINING_PAGES)])
 
 
 def content(pages: list[str], w: Weights) -> list[str]:
@@ -350,7 +376,7 @@ def extract(pages: DataFrame) -> DataFrame:
     w = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches, "html"):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 found = content([x or "" for x in part.column("html").to_pylist()], w)

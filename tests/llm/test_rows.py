@@ -156,12 +156,61 @@ def test_packing(spark):
 def test_html_held_out():
     """Pages of other seeds than the training's: nearly all come out word for word."""
     pages = html.labelled_pages(120, seed=99)
-    trees = [html.read_page(p) for p in pages]
+    trees = [html.read_page(p, labelled=True) for p in pages]
     want = ["\n".join(text for node, text, _ in t.blocks if t.label[node]) for t in trees]
     got = html.content([p.replace(' data-content="1"', "") for p in pages], html.trained())
     assert sum(a == b for a, b in zip(got, want)) >= 108
 
 
+#: Pages written by hand, not by the generator of the training pages: html and the blocks wanted.
+WRITTEN = [
+    ("""<html><head><title>Tide tables</title></head><body><div id="topbar"><a href=/>Home</a> <a href=/news>News</a> <a href=/about>About us</a></div>
+    <div class="container"><div class="content-area"><h1>Spring tides reach the quay</h1><p class="byline">By <a href=/a>A. Writer</a></p>
+    <p>Water stood two metres above the usual mark on Monday, and the harbour master closed the lower road until noon.</p>
+    <p>Nobody was hurt. Repairs to the wall begin next week, the council said, and should last until the end of the month.</p></div>
+    <div class="sidebar"><h3>Most read</h3><ul><li><a href=/1>Ferry late again</a></li><li><a href=/2>Market moves</a></li></ul></div></div>
+    <div class="footer"><p>All rights reserved</p></div></body></html>""",
+     ["Spring tides reach the quay", "Water stood two metres above the usual mark on Monday, and the harbour master closed the lower road until noon.", "Nobody was hurt. Repairs to the wall begin next week, the council said, and should last until the end of the month."]),
+    ("""<!DOCTYPE html [<!ENTITY x "y">]><body><nav role=navigation><ul><li><a href=/>Start</a><li><a href=/r>Recipes</a></ul></nav>
+    <main><article><header><h1>Barley soup</h1></header><p>Rinse the barley and soak it over night in plenty of cold water.<ul><li>200 g pearl barley</li><li>one leek, sliced</li></ul>
+    <p>Boil for forty minutes, then season &amp; serve with bread.</article></main>
+    <section id="comments"><h2>2 comments</h2><div class="comment"><p>Made this yesterday, the children loved it very much indeed.</p></div></section>
+    <footer><p>Imprint</p></footer></body>""",
+     ["Barley soup", "Rinse the barley and soak it over night in plenty of cold water.", "200 g pearl barley", "one leek, sliced", "Boil for forty minutes, then season & serve with bread."]),
+    ("""<body><div class="cookie-banner"><p>We use cookies to improve your visit.</p><button>Accept</button></div><svg><svg></svg><text>hidden</text></svg>
+    <div class="page"><div class="post"><h2>Notes on slow trains</h2><p>The night train leaves at ten and takes the old line along the river, where it stops at every village.</p>
+    <blockquote>Nobody hurries here.</blockquote><p>By morning the mountains are in view and tea is served from a trolley.</p></div>
+    <div class="advert">Buy two tickets and get one free</div></div><form class="newsletter"><label>Your address</label><button>Subscribe</button></form></body>""",
+     ["Notes on slow trains", "The night train leaves at ten and takes the old line along the river, where it stops at every village.", "Nobody hurries here.", "By morning the mountains are in view and tea is served from a trolley."]),
+    ("""<body><header class="site-header"><h1>The Gazette</h1><nav><a href=/>Front page</a></nav></header><div class="article-body"><h1>Library opens on Sundays</h1>
+    <p>From May the town library opens its doors on Sundays between ten and four, thanks to volunteers.</p><div data-content="popover text"><p>Returns can be left in the box by the door at any hour of the day.</p></div></div>
+    <aside class="related"><h4>Related</h4><a href=/x>Old books sold</a></aside><![foo[x]]><![if IE]><!-- c --></body>""",
+     ["Library opens on Sundays", "From May the town library opens its doors on Sundays between ten and four, thanks to volunteers.", "Returns can be left in the box by the door at any hour of the day."]),
+]
+
+
+def test_html_pages_not_from_the_generator():
+    """Blocks found of those wanted, and wanted of those found: nine tenths at least."""
+    got = [x.split("\n") for x in html.content([p for p, _ in WRITTEN], html.trained())]
+    hits = sum(b in g for g, (_, want) in zip(got, WRITTEN) for b in want)
+    assert hits >= 0.9 * sum(len(want) for _, want in WRITTEN) and hits >= 0.9 * sum(map(len, got)), got
+    assert not any(x in "\n".join(map("\n".join, got)) for x in ("hidden", "]>", "x]]"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(["<![foo[x]]>", "<![CDATA[", "<!DOCTYPE a [", "]>", "<!--", "-->", "<div data-content='a b'>", "<p", "<a href=x><div>", "</a>", "<svg><svg>", "</svg>", "<head>", "<script>", "&#x110000;", "&amp", "<?php", "</", "<td>", "<li>", "<option>", "\0"]), st.text(max_size=6)), max_size=14).map("".join))
+def test_html_reads_anything(page):
+    html.content([page], html.trained())
+
+
+def test_html_deep_pages():
+    """Depth changes nothing: a block 5,000 elements down keeps its own evidence."""
+    deep = "<div>" * 5000 + '<div class="ad">buy now and save</div><article><p>' + "plain words " * 40 + "</p></article>"
+    assert html.content([deep], html.trained()) == [("plain words " * 40).strip()]
+    tree = html.read_page("<div>" * 5000 + "<ul class=menu><li>x")
+    assert max(tree.depth) == 5002 and len(tree.parent) == 5003
+
+
 def test_html_messages_are_exact():
     tree = html.read_page("<body><div class=ad>x</div><article><p>one two</p><p>three</p></article></body>")
     f, w = html.forest([tree]), html.trained()
