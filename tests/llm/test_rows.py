@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinfold.llm import chat, html, packing, pieces, quality, registry, topk, warc
+from kinfold.storage import stage
 from tests.compare import assert_same
 
 CONTROL = st.text(st.sampled_from(["<", "s", ">", "/", "[", "INST", "]", "\\", " ", "[/INST]</s>", "[INST:", "|", "é", "\n"]), max_size=12)
@@ -67,6 +68,51 @@ def test_top_k_with_ties_and_bad_vectors(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def brute_top(rows, k=10):
+    """Every row's k best of the rows with other ids, in exact integers."""
+    out = []
+    for i, q in rows:
+        found = sorted((-sum(x * y for x, y in zip(q, d)), j) for j, d in rows if j != i)[:k]
+        out += [(i, rank, j, -s) for rank, (s, j) in enumerate(found, 1)]
+    return Counter(out)
+
+
+def test_products_are_exact():
+    """float64 below 2**53, int64 to 2**63, beyond it an error."""
+    big = np.array([[102400000, 1]])
+    assert topk.products(big, np.array([[102400000, 3], [102400000, 1]])).tolist() == [[10485760000000003, 10485760000000001]]
+    near = np.array([[2**26, 2**25]])
+    assert topk.products(near, near)[0, 0] == 2**52 + 2**50 and topk.products(2 * near, 2 * near)[0, 0] == 2**54 + 2**52
+    with pytest.raises(OverflowError):
+        topk.products(np.array([[2**32]]), np.array([[2**31]]))
+
+
+def test_top_k_prunes_clusters(spark, monkeypatch):
+    """Clustered vectors: few pairs and blocks are scored, and every answer is brute force's; repeated rows count each."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "SHARD_BLOCKS", 2)
+    monkeypatch.setattr(topk, "A_PIVOT", 32)
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(12, 16)) * 4
+    vecs = (np.repeat(centres, 50, axis=0) + r.normal(size=(600, 16)) * 0.2).tolist()
+    rows = [(i, v) for i, v in enumerate(vecs)] + [(5, vecs[5]), (20, vecs[20]), (700, vecs[33])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = Counter({x: n for x, n in brute_top(whole).items() if x[0] % 20 == 0})
+    assert Counter(map(tuple, topk.top_k(table, F.col("vec_id") % 20 == 0).collect())) == want
+    ints = table.select(F.col("vec_id").alias("key"), topk.quantised(F.col("embedding")).alias("vec"))
+    index = stage(topk.build_index(ints, 16, 603), "t")
+    asked = ints.where("key % 20 = 0").distinct().selectExpr("xxhash64(key, vec) AS row", "0 AS grp", "key", "vec", "1L AS copies", f"{-2**63 + 1}L AS floor")
+    asked = stage(topk.floors(stage(asked, "q"), index, 10), "f")
+    shards = index.where("kind = 1").count()
+    live = topk.live_pairs(asked, index)
+    assert shards > 12 and live.count() < 0.5 * asked.count() * shards
+    docs, q = index.where("kind = 0").toPandas(), asked.toPandas()
+    docs["block"] += docs["shard"].rank(method="dense").astype(int) * 100
+    found, scored = topk.search_blocks(q, docs, 10)
+    assert scored < 0.5 * len(q) * docs["block"].nunique() and len(found) == 10 * len(q)
+
+
 def brute_features(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
