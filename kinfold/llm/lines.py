@@ -4,24 +4,28 @@ Two lines are near copies if their edit distance (insert, delete, substitute one
 most ``threshold`` and both have ``min_chars`` code points; with ``short``, shorter lines that aren't blank
 take part too, as copies of equal lines only. The steps:
 
-1. equal lines become one (by a 128-bit hash), with their first place (doc_id, line number);
+1. equal lines become one (by the 128 bits of XXH3), with their first place (doc_id, line number);
 2. a line of length l is cut into threshold + 1 segments. A line within the threshold has one of them
    unchanged at a place that the length difference bounds, so each line writes its own segments to
    an index, and probes the index of each length from its own down to ``threshold`` less with the
    substrings that the multi-match-aware bounds leave;
 3. equal keys make candidates, unless the parities of their character counts already differ in more
    bits than ``threshold`` edits can flip;
-4. candidates are verified by the banded bit-parallel edit distance, all pairs of a batch in step.
+4. candidates are verified on their texts by the banded bit-parallel edit distance, pairs of like length in
+   step; beyond LONG code points, and what both ends share taken off, by the furthest reach of each diagonal.
 
 Links join lines into classes; a class keeps its first line. Keys are dealt by hash and streamed in
 sorted order. A key with more than HOT lines (counted on a sample of lines, so about) is dealt onto pairs of
 salted blocks: each block of index lines meets each block of probes under a key of its own, so that a task
 holds two blocks at a time and the pairs of a key are spread over the tasks. A line that a
-task has seen isn't written again, so that a line with most of the rows is a few rows a key.
+task has seen isn't written again, so that a line with most of the rows is a few rows a key and task; these
+become one as they arrive. All candidates of a key are still compared: many lines of one length that share
+a segment cost the square of their number, in numpy, whatever few of them are links.
 
 Defined results: null text has no lines; blank lines, and without ``short`` those below ``min_chars``, are kept and have no class; repeated rows and
 rows that share a doc_id share places, so that the first place of a class is kept in each of them; a
-document with a null id stands before all others; an empty table gives no rows; other columns pass.
+document with a null id stands before all others; an empty table gives no rows; other columns pass, but for
+one called n_removed, which the count replaces.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.text import Rolling, mix, steps
+from kinfold.llm.text import Rolling, mix, steps, unused
 from kinfold.operators.components import connected_components
 from kinfold.storage import stage
 from kinfold.workers import map_arrow
@@ -47,6 +51,9 @@ HOT, SAMPLE = 4096, 16
 #: Lines whose place is broadcast to fetch their text; beyond, the documents are shuffled.
 BROADCAST_LINES = 100_000
 
+#: Cells of a verification step, and code points from which a pair is verified alone.
+CELLS, LONG = 4_000_000, 20_000
+
 #: Bytes of text in a step: code points and their hashes take some sixty times as much.
 STEP = 1_000_000
 
@@ -59,6 +66,7 @@ class Lines:
 
     def __init__(self, texts: pa.Array):
         values = [x or "" for x in texts.to_pylist()]
+        self.lines = [line for x in values for line in x.split("\n")]
         joined = "\n".join(values) + "\n"
         self.codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.flatnonzero(self.codes == 10)
@@ -68,6 +76,7 @@ class Lines:
         self.number = np.arange(len(ends)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
 
     def take(self, keep: np.ndarray) -> None:
+        self.lines = [self.lines[i] for i in np.flatnonzero(keep).tolist()]
         self.start, self.stop, self.text, self.number = (x[keep] for x in (self.start, self.stop, self.text, self.number))
 
     def blank(self) -> np.ndarray:
@@ -75,9 +84,13 @@ class Lines:
         words = np.concatenate(([0], np.cumsum((self.codes != 32) & ((self.codes < 9) | (self.codes > 13)))))
         return words[self.stop] == words[self.start]
 
-    def hashes(self, which: int) -> tuple[np.ndarray, Rolling]:
-        rolling = Rolling(self.codes, which)
-        return rolling.of(self.start, self.stop), rolling
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of each line's XXH3."""
+        import xxhash
+
+        digests = b"".join(xxhash.xxh3_128_digest(line.encode()) for line in self.lines)
+        both = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
 
 def line_places(docs: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
@@ -87,7 +100,7 @@ def line_places(docs: DataFrame, min_chars: int, short: bool = False) -> DataFra
         for batch in steps(batches, "text", STEP):
             x = Lines(batch.column("text"))
             x.take((x.stop - x.start >= min_chars) | (short & ~x.blank()))
-            (h1, _), (h2, _) = x.hashes(1), x.hashes(2)
+            h1, h2 = x.hashes()
             row = pa.array(x.text)
             yield pa.record_batch(
                 [batch.column("doc_id").take(row), batch.column("text_hash").take(row), pa.array(x.number.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=["doc_id", "text_hash", "line", "h1", "h2"]
@@ -129,7 +142,7 @@ def line_keys(docs: DataFrame, threshold: int, min_chars: int, hot: tuple[np.nda
         for batch in steps(batches, "text", STEP):
             x = Lines(batch.column("text"))
             x.take(x.stop - x.start >= min_chars)
-            h1, rolling = x.hashes(1)
+            h1, rolling = x.hashes()[0], Rolling(x.codes)
             if len(seen) > SEEN:
                 seen = set()
             fresh = np.array([h % sample == 0 and h not in seen and not seen.add(h) for h in h1.tolist()], bool)
@@ -196,7 +209,7 @@ def candidate_pairs(keys: DataFrame, threshold: int) -> DataFrame:
     """a, b: hashes of lines that share a key; the rows of a key arrive one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.uint64)] * 3
+        rest, full = [np.zeros(0, np.uint64)] * 3, 4 * HOT
 
         def pairs(key, h, info):
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -216,9 +229,12 @@ def candidate_pairs(keys: DataFrame, threshold: int) -> DataFrame:
 
         for batch in batches:
             now = [np.concatenate((r, c.to_numpy(zero_copy_only=False).view(np.uint64))) for r, c in zip(rest, batch.columns)]
-            # The last key may go on in the next batch.
+            # The last key may go on in the next batch; what tasks have written of one line becomes one row.
             cut = np.searchsorted(now[0].view(np.int64), now[0][-1:].view(np.int64))[0] if len(now[0]) else 0
             rest = [x[cut:] for x in now]
+            if len(rest[0]) > full:
+                h, info = np.unique(np.stack(rest[1:]), axis=1)
+                rest, full = [rest[0][: len(h)], h, info], max(4 * HOT, 2 * len(h))
             if cut:
                 yield from emit(pairs(*(x[:cut] for x in now)))
         if len(rest[0]):
@@ -260,16 +276,60 @@ def banded_distance(left: list[str], right: list[str], threshold: int) -> np.nda
     return distance
 
 
+def _alike(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values both begin with."""
+    n, at, step = min(len(x), len(y)), 0, 64
+    while at < n:
+        differ = np.flatnonzero(x[at : min(at + step, n)] != y[at : min(at + step, n)])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = at + step, step * 4
+    return n
+
+
+def within(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    """Whether two sequences of code points lie within the threshold: for each number of edits, how far each diagonal reaches."""
+    reach = {0: _alike(x, y)}
+    for edits in range(threshold + 1):
+        if reach.get(len(x) - len(y), -1) >= len(x):
+            return True
+        step = {}
+        for d in range(-edits - 1, edits + 2):
+            i = max(reach.get(d, -2) + 1, reach.get(d + 1, -2), reach.get(d - 1, -2) + 1)
+            i = min(i, len(x), len(y) + d)
+            if i >= max(0, d):
+                step[d] = i + _alike(x[i:], y[i - d :])
+        reach = step
+    return False
+
+
 def verified(pairs: DataFrame, threshold: int) -> DataFrame:
     """Of a, b, ta, tb those within the threshold."""
 
+    def near(left: list[str], right: list[str]) -> np.ndarray:
+        out = np.zeros(len(left), bool)
+        codes = lambda text: np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        by, at = sorted(range(len(left)), key=lambda i: len(right[i])), 0
+        while at < len(by):
+            if len(right[by[at]]) > LONG:
+                x, y = codes(left[by[at]]), codes(right[by[at]])
+                out[by[at]] = within(x, y, threshold)
+                at += 1
+                continue
+            stop = at + 1
+            while stop < len(by) and len(right[by[stop]]) <= LONG and (stop + 1 - at) * (len(right[by[stop]]) + 8 * threshold + 4) <= CELLS:
+                stop += 1
+            some = by[at:stop]
+            out[some] = banded_distance([left[i] for i in some], [right[i] for i in some], threshold) <= threshold
+            at = stop
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+        for wide in steps(batches, "ta"):
+            for part in steps([wide], "tb"):
                 both = [sorted(x, key=len) for x in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist())]
-                near = pa.array(banded_distance([x[0] for x in both], [x[1] for x in both], threshold) <= threshold)
-                yield pa.record_batch([part.column("a").filter(near), part.column("b").filter(near)], names=["a", "b"])
+                found = pa.array(near([x[0] for x in both], [x[1] for x in both]))
+                yield pa.record_batch([part.column("a").filter(found), part.column("b").filter(found)], names=["a", "b"])
 
     return map_arrow(pairs, run, "a long, b long")
 
@@ -282,19 +342,21 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
     pairs = stage(candidate_pairs(line_keys(docs, threshold, min_chars, hot_keys(docs, threshold, min_chars)), threshold), "line-pairs")
     # The text of candidates, from the first place of each.
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    wanted = stage(distinct.join(wanted, F.col("h1") == F.col("h")).groupBy(F.col("p.doc_id").alias("d"), F.col("p.text_hash").alias("t")).agg(F.collect_list(F.struct("h", "p.line")).alias("l")), "wanted")
+    wanted = stage(distinct.join(wanted, F.col("h1") == F.col("h")).groupBy(F.col("p.doc_id").alias("d"), F.col("p.text_hash").alias("t")).agg(F.collect_list(F.struct("h", "h2", "p.line")).alias("l")), "wanted")
     n = wanted.agg(F.coalesce(F.sum(F.size("l")), F.lit(0))).first()[0]
     near = F.broadcast(wanted) if n <= BROADCAST_LINES else wanted
     found = docs.join(near, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))).select(F.split("text", "\n", -1).alias("s"), F.explode("l").alias("l"))
-    texts = stage(found.select(F.col("l.h").alias("h"), F.get("s", F.col("l.line")).alias("text")).dropDuplicates(["h"]), "line-texts")
-    left, right = texts.toDF("ha", "ta"), texts.toDF("hb", "tb")
+    texts = stage(found.select(F.col("l.h").alias("h"), F.col("l.h2").alias("h2"), F.get("s", F.col("l.line")).alias("text")).dropDuplicates(["h"]), "line-texts")
+    left, right = (texts.select(F.col("h").alias("h" + end), F.col("text").alias("t" + end)) for end in "ab")
     links = stage(verified(pairs.join(left, F.col("a") == F.col("ha")).join(right, F.col("b") == F.col("hb")).select("a", "b", "ta", "tb"), threshold), "links")
-    nodes = stage(connected_components(links), "line-components").toDF("node", "component")
+    # A node is the line whose text has been compared: it has both hashes.
+    node = texts.select("h", F.col("h2").alias("node2"))
+    nodes = stage(connected_components(links).join(node, F.col("node") == F.col("h")).select("node", "node2", "component"), "line-components")
     counts = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("n_links")).withColumnRenamed("a", "linked")
-    member = distinct.join(nodes, F.col("h1") == F.col("node"))
+    member = distinct.join(nodes, (F.col("h1") == F.col("node")) & (F.col("h2") == F.col("node2")))
     first = member.groupBy("component").agg(F.min(F.struct("p.doc_id", "p.line")).alias("first")).withColumnRenamed("component", "c")
-    named = stage(nodes.join(first, F.col("component") == F.col("c")).join(counts, F.col("node") == F.col("linked")).select("node", "first", "n_links"), "line-names")
-    own = distinct.join(named, F.col("h1") == F.col("node"), "left").select(
+    named = stage(nodes.join(first, F.col("component") == F.col("c")).join(counts, F.col("node") == F.col("linked")).select("node", "node2", "first", "n_links"), "line-names")
+    own = distinct.join(named, (F.col("h1") == F.col("node")) & (F.col("h2") == F.col("node2")), "left").select(
         F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.coalesce("first", F.struct("p.doc_id", "p.line")).alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     own = stage(own, "line-owners")
@@ -308,12 +370,13 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """``docs`` with the lines removed that aren't the first of their class; n_removed counts them."""
     classes = line_classes(_keyed(docs, doc_id, text), threshold, min_chars, short)
-    gone = classes.where(~F.col("kept")).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("_gone")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
+    d, h, lines = unused(docs.columns, "_d", "_h", "_gone")
+    gone = classes.where(~F.col("kept")).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias(lines)).withColumnsRenamed({"doc_id": d, "text_hash": h})
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    joined = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_d")) & (hashed == F.col("_h")), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda s, i: ~F.array_contains("_gone", i)), "\n")
-    out = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)))
-    return out.select(*docs.columns, "n_removed")
+    joined = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col(d)) & (hashed == F.col(h)), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda s, i: ~F.array_contains(lines, i)), "\n")
+    out = {text: F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept).alias(text)}
+    return joined.select(*[out.get(c, F.col(c)) for c in docs.columns if c.lower() != "n_removed"], F.coalesce(F.size(lines), F.lit(0)).alias("n_removed"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

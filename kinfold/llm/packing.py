@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.text import WORD
+from kinfold.storage import stage
 
 MAX_TOKENS = 4096
 BUCKETS = 16
@@ -61,7 +62,8 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def pack(docs: DataFrame, length: Column, *, doc_id: str = "doc_id", max_tokens: int = MAX_TOKENS, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET) -> DataFrame:
     """doc_id, chunk, start, n_tokens, boundary, batch, slot, padding of every sequence; (boundary, batch) names a batch."""
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"))
+    # Lengths are written once: the histogram, the offsets and the numbering each read them.
+    sized = stage(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("_n")), "lengths")
     chunks = F.greatest(F.ceil(F.col("_n") / max_tokens), F.lit(1)).cast("long")
     rows = sized.select("doc_id", "_n", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
     rows = rows.select("doc_id", "chunk", (F.col("chunk") * max_tokens).alias("start"), F.least(F.lit(max_tokens), F.col("_n") - F.col("chunk") * max_tokens).alias("n_tokens"))

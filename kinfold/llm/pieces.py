@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.text import Rolling, mix, steps
+from kinfold.llm.text import LONG_WORD, Rolling, mix, steps
 from kinfold.workers import map_arrow
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -126,6 +126,8 @@ class Lattice:
     """
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str]):
+        import xxhash
+
         self.v = vocabulary
         marked = [" " + x if x else "" for x in texts]
         codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -141,7 +143,10 @@ class Lattice:
         literal = codes == ord(SPACE)
         codes = np.where(gap, np.uint64(ord(SPACE)), codes)
         codes[literal] = np.uint64(0x110000)
-        _, sample, self.part = np.unique(Rolling(codes).of(start, stop), return_index=True, return_inverse=True)
+        hashes = Rolling(codes).of(start, stop)
+        for i in np.flatnonzero(stop - start > LONG_WORD).tolist():  # the polynomial is weak on long ones
+            hashes[i] = xxhash.xxh64_intdigest(codes[start[i] : stop[i]].tobytes())
+        _, sample, self.part = np.unique(hashes, return_index=True, return_inverse=True)
         size = (stop - start)[sample]
         begin = np.cumsum(size + 1) - size - 1
         self.begin, self.end = begin, begin + size
@@ -193,8 +198,16 @@ class Lattice:
         # Likely arcs first, so that a draw seldom looks beyond a node's first arc.
         order = np.argsort(self.tail - np.exp(self.log_p) / 2)
         self.head, self.ids, self.weight, self.log_p = self.head[order], self.ids[order], self.weight[order], self.log_p[order]
-        share = np.cumsum(np.exp(self.log_p))
+        p = np.exp(self.log_p)
+        share = np.cumsum(p)
         count = np.diff(self.out)
+        # The mass of each arc's siblings: 1 - p, but for a node's likeliest arc their sum, which doesn't cancel.
+        begins, rest = self.out[:-1][count > 0], -np.expm1(self.log_p)
+        p[begins] = 0
+        if len(begins):
+            rest[begins] = np.add.reduceat(p, begins)
+        with np.errstate(divide="ignore"):
+            self.log_rest = np.log(np.maximum(rest, 0))
         before = np.concatenate(([0.0], share))[self.out[:-1]]
         self.reach = share - np.repeat(before, count)
         self.reach[self.out[1:][count > 0] - 1] = 2.0
@@ -257,13 +270,6 @@ def _truncated(location: np.ndarray, ceiling: np.ndarray, u: np.ndarray) -> np.n
     return np.where(np.isfinite(location), np.minimum(out, ceiling), -np.inf)
 
 
-def _log_rest(log_p: np.ndarray) -> np.ndarray:
-    """log(1 - p); minus infinity where nothing but rounding is left."""
-    with np.errstate(divide="ignore"):
-        rest = -np.expm1(log_p)
-        return np.where(rest > 1e-12, np.log(rest), -np.inf)
-
-
 def sample(lattice: Lattice, keys: np.ndarray, k: int, seed: int = SEED) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to k of (arcs, log probability, perturbed value, inclusion), largest value first."""
     n, first = len(keys), lattice.first
@@ -276,7 +282,7 @@ def sample(lattice: Lattice, keys: np.ndarray, k: int, seed: int = SEED) -> list
         """The best k sibling sets that the new places of a path leave: (value, path, place, excluded arcs)."""
         text = np.repeat(np.arange(len(which)), count)
         place = np.arange(len(arcs)) - np.repeat(np.cumsum(count) - count, count)
-        location = logs - lattice.log_p[arcs] + _log_rest(lattice.log_p[arcs])
+        location = logs - lattice.log_p[arcs] + lattice.log_rest[arcs]
         value = _truncated(location, ceiling[text], _uniform(seed, keys[which][text], draw, 2 * (place + base[text]) + 1))
         has = np.flatnonzero(count)
         start = (np.cumsum(count) - count)[has]
@@ -325,8 +331,8 @@ def sample(lattice: Lattice, keys: np.ndarray, k: int, seed: int = SEED) -> list
             arc = int(options[min(np.searchsorted(np.cumsum(p), p.sum() * turns[i]), len(options) - 1)])
             before = float(old_logs[at] - lattice.log_p[old[at]])
             gone = (*excluded, arc)
-            left = max(0.0, 1.0 - float(np.exp(lattice.log_p[list(gone)]).sum()))
-            if left > 1e-12 and len(options) > 1:
+            left = float(np.exp(lattice.log_p[options[options != arc]]).sum())
+            if left > 0:
                 location = before + np.log(left)
                 heap[t].append((float(_truncated(np.array(location), np.array(value), others[i])), path, at, gone))
             # The part that holds the place, then all parts after it.
@@ -406,5 +412,6 @@ def decode_ids(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFra
 
 
 def op2_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two segmentations a text; their ids as a hash, for the digest's sake."""
     found = encode_samples(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select(F.col("key").alias("doc_id"), "rank", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "inclusion", "round_trip")

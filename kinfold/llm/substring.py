@@ -15,7 +15,8 @@ covered by a repeated window without listing all windows:
   windows that meet another context's are repeated.
 * *Keep.* The repeated windows of a document, merged where they touch, are its maximal repeats.
 
-Windows and contexts are compared by hashes of 128 bits made of two independent polynomials.
+Windows and contexts are compared by two hashes of 64 bits made of polynomials over words, one modulo 2**64 and one
+modulo a prime.
 
 Defined results: null is a text without words; a text shorter than the window keeps all its words;
 repeated rows repeat each other's windows; rows may share a doc_id (they are told apart by their
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.text import Batch, Rolling, steps
+from kinfold.llm.text import Batch, Rolling, steps, unused
 from kinfold.storage import stage
 from kinfold.workers import map_arrow
 
@@ -43,7 +44,7 @@ _SPANS = "doc_id long, text_hash long, w1 long, w2 long, at int"
 
 
 def _hashes(b: Batch) -> tuple[Rolling, Rolling]:
-    return Rolling(b.word_hashes(1), 1), Rolling(b.word_hashes(2), 2)
+    return Rolling(b.word_hashes(1), 1), Rolling(b.word_hashes(3), 2)
 
 
 def _starts(b: Batch, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +146,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     # A row that is there twice opens its windows twice; they are repeated indeed.
     opened = stage(windows(text, length), "windows")
     met = opened.groupBy(F.col("w1").alias("m1"), F.col("w2").alias("m2")).agg(F.count("*").alias("n")).where("n > 1")
+    met = stage(met.select("m1", "m2"), "met")
     edge = opened.join(met, (F.col("w1") == F.col("m1")) & (F.col("w2") == F.col("m2"))).select("doc_id", "text_hash", F.col("at").alias("low"), F.col("at").alias("high"))
     return whole.union(edge).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
@@ -176,21 +178,23 @@ def cut(texts: pa.Array, spans: pa.ListArray, length: int) -> tuple[pa.Array, np
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """``docs`` with kept (the words left, joined by one space), n_words and n_removed."""
+    """``docs`` with kept (the words left, joined by one space), n_words and n_removed, which replace columns of these names."""
     if not 0 < seed <= length:
         raise ValueError("the seed is a part of the window")
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     found = repeats(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), hashed.alias("text_hash")), length, seed)
-    found = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans"))
-    joined = docs.join(found, F.col(doc_id).eqNullSafe(F.col("_d")) & (hashed == F.col("_h")), "left").drop("_d", "_h")
-    names = docs.columns
+    d, h, spans = unused(docs.columns, "_d", "_h", "_spans")
+    found = found.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("spans").alias(spans))
+    joined = docs.join(found, F.col(doc_id).eqNullSafe(F.col(d)) & (hashed == F.col(h)), "left").drop(d, h)
+    added = ["kept", "n_words", "n_removed"]
+    passed = [f for f in docs.schema.fields if f.name.lower() not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
-            kept, words, removed = cut(batch.column(text), batch.column("_spans"), length)
-            yield pa.record_batch([*(batch.column(n) for n in names), kept, pa.array(words.astype(np.int64)), pa.array(removed.astype(np.int64))], names=[*names, "kept", "n_words", "n_removed"])
+            kept, words, removed = cut(batch.column(text), batch.column(spans), length)
+            yield pa.record_batch([*(batch.column(f.name) for f in passed), kept, pa.array(words.astype(np.int64)), pa.array(removed.astype(np.int64))], names=[*(f.name for f in passed), *added])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in passed]
     return map_arrow(joined, run, ", ".join([*fields, "kept string, n_words long, n_removed long"]))
 
 

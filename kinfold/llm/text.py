@@ -18,6 +18,9 @@ GAP = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text that one Python step holds at a time; a longer text is a step of its own.
 STEP_BYTES = 4_000_000
 
+#: Bytes from which a word's hash is not the polynomial's.
+LONG_WORD = 64
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -63,11 +66,37 @@ class Powers:
         return self.up, self.down
 
 
-_powers = {1: Powers(_B1), 2: Powers(_B2)}
+class PrimePowers(Powers):
+    """Powers of a primitive root modulo 2**31 - 1 and of its inverse."""
+
+    def __init__(self, base: int):
+        self.base, self.back = base, pow(base, -1, int(_PRIME))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            size = len(self.up)
+            for name, base in (("up", self.base), ("down", self.back)):
+                now = getattr(self, name)
+                setattr(self, name, np.concatenate((now, now * np.uint64(pow(base, size, int(_PRIME))) % _PRIME)))
+        return self.up, self.down
+
+
+_PRIME = np.uint64(2**31 - 1)
+_powers = {1: Powers(_B1), 3: Powers(_B2)}
+_prime_powers = PrimePowers(16807), PrimePowers(48271)
 
 
 class Rolling:
-    """Hashes of any slice of a sequence of integers in constant time (a polynomial modulo 2**64, then mixed)."""
+    """Hashes of any slice of a sequence of integers in constant time.
+
+    ``which`` 1 and 3 are polynomials modulo 2**64, which sequences of much structure (Thue and Morse's, from about 256
+    values on) can make collide whatever the base; ``which`` 2 has two polynomials modulo the prime 2**31 - 1
+    beside each other, which they can't. What must not collide is told apart by both kinds.
+    """
+
+    def __new__(cls, values: np.ndarray, which: int = 1):
+        return super().__new__(_PrimeRolling if which == 2 else cls)
 
     def __init__(self, values: np.ndarray, which: int = 1):
         self.up, self.down = _powers[which].upto(len(values) + 1)
@@ -81,6 +110,20 @@ class Rolling:
         return mix((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64))
 
 
+class _PrimeRolling(Rolling):
+    def __init__(self, values: np.ndarray, which: int = 2):
+        values = mix(values)
+        halves = values % _PRIME, (values >> np.uint64(32)) % _PRIME
+        self.sides = []
+        for half, powers in zip(halves, _prime_powers):
+            up, down = powers.upto(len(values) + 1)
+            self.sides.append((np.concatenate((np.zeros(1, np.uint64), np.cumsum((half + np.uint64(1)) * up[: len(half)] % _PRIME))), down))
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        one, two = ((sums[stop] - sums[start]) % _PRIME * down[start] % _PRIME for sums, down in self.sides)
+        return mix((one << np.uint64(31) | two) + (stop - start).astype(np.uint64) * _B2)
+
+
 class Batch:
     """The words of some texts as offsets into one buffer of UTF-8.
 
@@ -109,7 +152,24 @@ class Batch:
         self.first = np.searchsorted(self.start, self.bounds)
 
     def word_hashes(self, which: int = 1) -> np.ndarray:
-        return Rolling(self.data, which).of(self.start, self.stop)
+        """``which`` is 1 or 3; words of more than LONG_WORD bytes are hashed by XXH64, for polynomials are weak on them."""
+        import xxhash
+
+        found = Rolling(self.data, which).of(self.start, self.stop)
+        for i in np.flatnonzero(self.stop - self.start > LONG_WORD).tolist():
+            found[i] = xxhash.xxh64_intdigest(self.data[self.start[i] : self.stop[i]].tobytes(), which)
+        return found
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores added where a column has one of them (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def steps(batches: Iterator[pa.RecordBatch], text: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,12 +5,14 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kinfold.llm import lines, simhash, substring
+from kinfold.llm.text import Rolling
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, key int, anchor string, component string"
@@ -129,6 +131,49 @@ def test_lines(spark):
     assert {(r.doc_id, r.line): (tuple(r["first"]), r.n_links, r.kept) for r in found} == {(i, n): (first[component[s]], links[s], first[component[s]] == (i, n)) for i, n, s in places}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab€", max_size=14), st.text("ab€", max_size=14), st.integers(0, 3))
+def test_furthest_reach(a, b, threshold):
+    codes = lambda x: np.frombuffer(x.encode("utf-32-le"), np.uint32)
+    assert lines.within(codes(a), codes(b), threshold) == (edit(a, b) <= threshold)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n)), "".join("ba"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_lines_that_collide_in_polynomials(spark):
+    """Lines that every polynomial modulo 2**64 takes for equal stay two; so do words and windows of them."""
+    a, b = thue_morse(2048)
+    whole = lambda x, which: int(Rolling(np.frombuffer(x.encode(), np.uint8), which).of(np.array([0]), np.array([2048]))[0])
+    assert whole(a, 1) == whole(b, 1) and whole(a, 2) != whole(b, 2)
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.dedup_lines(frame(spark, [(1, a), (2, b), (3, a)])).collect()}
+    assert got == {1: (a, 0), 2: (b, 0), 3: ("", 1)}
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, a), (4, b), (5, a)]
+    found = substring.remove_repeats(frame(spark, rows), length=1024, seed=12)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in found.collect()) == brute_windows(rows, 1024)
+
+
+def test_line_edges(spark):
+    """Null ids, repeated rows, very long lines and clashing column names."""
+    r = random.Random(2)
+    long = "".join(r.choice("abcdefgh ") for _ in range(300_000))
+    near = long[:5] + "Q" + long[6:250_000] + long[250_001:]
+    same = "the very same line of some length"
+    rows = [(None, f"{same}\none"), (1, f"{same}\ntwo"), (1, f"{same}\ntwo"), (2, long), (3, near), (4, long[::-1])]
+    docs = spark.createDataFrame([(i, t, 7, "g") for i, t in rows], "doc_id long, text string, n_removed int, _gone string")
+    found = lines.dedup_lines(docs)
+    assert found.columns == ["doc_id", "text", "_gone", "n_removed"]
+    want = Counter([(None, f"{same}\none", 0), (1, "two", 1), (1, "two", 1), (2, long, 0), (3, "", 1), (4, long[::-1], 0)])
+    assert Counter((r.doc_id, r.text, r.n_removed) for r in found.collect()) == want
+
+
+def test_substring_column_clash(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "x", 2, "s")], "doc_id long, text string, N_words int, kept string, n_removed int, _spans string")
+    got = substring.remove_repeats(docs)
+    assert got.columns == ["doc_id", "text", "_spans", "kept", "n_words", "n_removed"] and tuple(got.first()) == (1, "a b c", "s", "a b c", 3, 0)
+
+
 def test_lines_are_removed(spark):
     line = "a line that is long enough to count"
     rows = [(1, f"{line}\nsame\nsame"), (2, f"{line}!\nother words\n"), (3, None), (4, "")]
