@@ -10,19 +10,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions import policy as P
+from kinfold.storage import stage
 
 
 def rank_eligible(eligible: DataFrame, key: str, score: str) -> DataFrame:
     """``eligible`` with ``position`` (from 1) by score (highest first), then key.
 
-    The count of rows above each distinct score is a prefix sum over one row a score (scores have three
-    decimals); rows of equal score are numbered among themselves.
+    Rows are dealt into ranges of that order, which split a score that most rows have; a row's position is its place
+    in its range behind the counts of the ranges before.
     """
-    counts = eligible.groupBy(F.col(score).alias("_score")).agg(F.count("*").alias("_n"))
-    above = counts.withColumn("_above", F.coalesce(F.sum("_n").over(Window.orderBy(F.col("_score").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy(score).orderBy(key)
-    numbered = eligible.withColumn("_r", F.row_number().over(inside))
-    return numbered.join(above.drop("_n"), F.col(score) == F.col("_score")).withColumn("position", F.col("_above") + F.col("_r")).drop("_score", "_above", "_r")
+    ranges = stage(eligible.repartitionByRange(F.col(score).desc(), key).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inside = Window.partitionBy("_range").orderBy(F.col(score).desc(), key)
+    return ranges.withColumn("_r", F.row_number().over(inside)).join(F.broadcast(before), "_range").withColumn("position", F.col("_before") + F.col("_r")).drop("_range", "_before", "_r")
+
+
+def best_within(uncached: DataFrame, spent: int, key: str, score: str, budget: int = P.LOOKUP_BUDGET) -> DataFrame:
+    """The best of ``uncached`` that the remaining budget pays for."""
+    return uncached.orderBy(F.col(score).desc(), key).limit(max(budget - spent, 0))
 
 
 def split_cache(eligible: DataFrame, cache: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

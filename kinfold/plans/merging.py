@@ -49,7 +49,9 @@ def strong_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     known = identifiers(table(spark, sf_dir, "customer").withColumn("owner", F.col("c_custkey")), "owner", "c_custkey", F.col("c_custkey") % 3 != 0)
     rows = identifiers(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", F.lit(True))
-    hits = rows.join(known, ["itype", "match_key"]).groupBy("o_orderkey", "itype").agg(F.min("owner").alias("owner"), F.countDistinct("owner").alias("owners"))
+    # Owners are counted by key before the join, so that it makes one row an identifier.
+    owners = known.groupBy("itype", "match_key").agg(F.min("owner").alias("owner"), F.countDistinct("owner").alias("owners"))
+    hits = rows.join(owners, ["itype", "match_key"])
     strength = F.when(F.col("itype") == "email", 1).otherwise(2)
     return hits.groupBy("o_orderkey").agg(F.concat(F.min_by("itype", strength), F.lit("_exact")).alias("rule"), F.min_by("owner", strength).alias("owner"), F.sum("owners").alias("hits"))
 

@@ -94,18 +94,49 @@ def _looked_up_identifiers(cache: DataFrame, owned: DataFrame) -> DataFrame:
     return found.join(owner, ["itype", "match_key"], "left").where(F.coalesce(F.col("owner") == F.col("candidate_id"), F.lit(True))).drop("owner")
 
 
-def look_up(p: People, provider: DataFrame, cache: DataFrame | None, now, after_batch: int) -> DataFrame:
-    """New rows of the cache: candidates without mail and phone but with a handle, the best first, as far as the budget goes."""
+def look_up_plan(p: People, cache: DataFrame | None) -> DataFrame:
+    """candidate_id, lookup_key, completeness_score, state of every candidate without mail and phone.
+
+    States: ``no_key`` (no handle to look up), ``cached`` (paid for before), ``selected`` (the best that the rest of the
+    budget pays for) and ``over_budget``.
+    """
     handle = p.identities.where("itype = 'linkedin_handle' AND is_canonical").select("candidate_id", F.col("match_key").alias("lookup_key"))
-    wanted = p.candidates.where(~F.col("contactable")).select("candidate_id", "completeness_score").join(handle, "candidate_id")
-    spent = 0
+    lost = p.candidates.where(~F.col("contactable")).select("candidate_id", "completeness_score")
+    no_key = lost.join(handle, "candidate_id", "left_anti").select("candidate_id", F.lit(None).cast("string").alias("lookup_key"), "completeness_score", F.lit("no_key").alias("state"))
+    wanted, spent, out = lost.join(handle, "candidate_id"), 0, no_key
     if cache is not None:
-        wanted, _ = enrich.split_cache(wanted, cache, "lookup_key")
+        wanted, cached = enrich.split_cache(wanted, cache, "lookup_key")
         spent = cache.count()
-    chosen = enrich.select_within(wanted, spent, "candidate_id", "completeness_score").where("selected")
+        out = out.unionByName(cached.withColumn("state", F.lit("cached")))
+    wanted = stage(wanted, "wanted")
+    chosen = enrich.best_within(wanted, spent, "candidate_id", "completeness_score").select("candidate_id", F.lit(True).alias("selected"))
+    state = F.when(F.col("selected"), "selected").otherwise("over_budget")
+    return stage(out.unionByName(wanted.join(chosen, "candidate_id", "left").withColumn("state", state).drop("selected")), "look-up-plan")
+
+
+def look_up(p: People, provider: DataFrame, cache: DataFrame | None, now, after_batch: int) -> DataFrame:
+    """New rows of the cache: candidates without mail and phone but with a handle, the best first, as far as the budget goes."""
+    chosen = look_up_plan(p, cache).where("state = 'selected'").drop("state")
     return enrich.bill(chosen, provider, "lookup_key", now).withColumn("after_batch", F.lit(after_batch))
 
 
+def look_up_report(before: People, after: People, plan: DataFrame, cache: DataFrame | None, billed: DataFrame) -> DataFrame:
+    """One row: rows_in, what the run spent, served from the cache and saved, and who could be contacted before and after.
+
+    ``plan`` and ``cache`` are those before the run, ``billed`` what ``look_up`` returned. The lists of candidates that were
+    skipped and selected are the plan's rows by state.
+    """
+    paid = billed.agg(F.count("*").alias("calls_made"), F.coalesce(F.sum("cost"), F.lit(0)).cast("double").alias("spend_inr"))
+    served = plan.where("state = 'cached'")
+    served = served.withColumn("miss", F.lit(False)) if cache is None else served.join(cache.groupBy("lookup_key").agg(F.bool_or(F.col("status") == "not_found").alias("miss")), "lookup_key")
+    hits = served.agg(F.count("*").alias("calls_served_from_cache"), F.count_if("miss").alias("negative_cache_hits"), F.round(F.count("*") * P.LOOKUP_COST, 2).alias("saved_inr"))
+    reach = lambda x, name: x.candidates.agg(F.count_if("contactable").alias(name))
+    out = plan.agg(F.count("*").alias("rows_in"), F.lit(P.LOOKUP_BUDGET).alias("budget_calls"))
+    for part in (paid, hits, reach(before, "contactable_before"), reach(after, "contactable_after")):
+        out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return out
+
+
 def _identities(rows: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """One row for each (candidate, type, key); canonical: work mail first, then the most confident, then the first seen."""
     confidence = F.create_map(*[F.lit(x) for pair in P.CONFIDENCE.items() for x in pair])
@@ -149,7 +180,7 @@ def _candidates(rows: DataFrame, folded: DataFrame, identities: DataFrame, skill
     out = base.join(wide, "candidate_id", "left").join(ident, "candidate_id", "left").join(skills, "candidate_id", "left").join(collided, "candidate_id", "left")
     flags = F.array_sort(F.array_compact(F.array(F.when(F.col("_c"), "combination_match_applied"), F.when(F.col("_n"), "name_collision_reviewed"))))
     out = out.select(
-        "candidate_id", "created_ord", "full_name", "current_title", "current_company", F.get_json_object("location", "$.city").alias("city"), F.get_json_object("location", "$.country").alias("country"), F.col("experience_months").cast("int"),
+        "candidate_id", "created_ord", "full_name", F.lower("full_name").alias("normalized_name"), "current_title", "current_company", *[F.get_json_object("location", f"$.{x}").alias(n) for x, n in (("raw", "location_raw"), ("city", "city"), ("state", "state"))], F.get_json_object("location", "$.country").alias("country"), F.col("experience_months").cast("int"),
         F.col("annual_salary_inr").cast("long"), F.col("notice_period_days").cast("int"), F.coalesce("skills", F.array().cast("array<string>")).alias("skills"), F.col("open_to_work").cast("boolean"), "primary_email", "primary_phone", "contactable",
         "source_count", "identity_count", "first_seen_at", "last_seen_at", flags.alias("data_quality_flags"), "_mail", "_phone",
     )
@@ -170,18 +201,74 @@ def report(p: People, batch: str) -> DataFrame:
     all_rows = p.records.where(mine).agg(F.count("*").alias("rows_in"), F.count("reason").alias("rows_rejected"))
     until = rows.agg(F.max("ord.batch_seq").alias("_until"))
     rows_of = p.rows.join(F.broadcast(until), F.col("ord.batch_seq") <= F.col("_until")).join(touched.select("candidate_id"), "candidate_id", "left_semi").groupBy("candidate_id").agg(F.count("*").alias("n"))
-    merges = rows_of.agg(F.count_if(F.col("n") > 1).alias("merge_groups"))
-    fights = p.conflicts.join(p.rows.where(mine).select("candidate_id", "ord"), ["candidate_id", "ord"], "left_semi").agg(F.count("*").alias("conflicts_resolved"))
+    merged = rows_of.agg(F.count_if(F.col("n") > 1).alias("merge_groups"))
+    met = fights(p, batch).agg(F.count("*").alias("conflicts_resolved"))
     counts = log.agg(F.count_if("applied").alias("fields_changed"), F.count_if(F.col("rule").startswith("REJECTED")).alias("nulls_ignored"))
     late = rows.agg(F.count_if("out_of_order").alias("out_of_order_records"))
     declined = p.declined.where(mine).agg(F.count("*").alias("merges_declined"))
     one = F.lit(1).alias("_one")
     out = all_rows.withColumn("_one", one)
-    for part in (split, merges, declined, counts, fights, late):
+    for part in (split, merged, declined, counts, met, late):
         out = out.join(part.withColumn("_one", one), "_one")
     return out.select(F.lit(batch).alias("batch"), *[c for c in out.columns if c != "_one"])
 
 
+def merges(p: People, batch: str) -> DataFrame:
+    """candidate_id, rule, rows of every candidate that the batch touched and several rows up to it make up."""
+    mine = p.rows.where(F.col("batch") == batch)
+    until = mine.agg(F.max("ord.batch_seq").alias("_until"))
+    rule = mine.groupBy("candidate_id").agg(F.coalesce(F.min_by("rule", F.when(F.col("rule").isNotNull(), F.col("ord"))), F.lit("identifier_exact")).alias("rule"))
+    upto = p.rows.select("candidate_id", "ord").join(F.broadcast(until), F.col("ord.batch_seq") <= F.col("_until")).join(rule, "candidate_id")
+    return upto.groupBy("candidate_id", "rule").agg(F.sort_array(F.collect_list("ord.source_row_id")).alias("rows")).where(F.size("rows") > 1)
+
+
+def declines(p: People, batch: str) -> DataFrame:
+    """rows, reason, detail of every pair of candidates that share a name and nothing stronger."""
+    return p.declined.where(F.col("batch") == batch).select("rows", F.lit("name_match_only_insufficient").alias("reason"), F.lit("same normalized_name, different strong identifiers").alias("detail"))
+
+
+def fights(p: People, batch: str) -> DataFrame:
+    """field, winner, loser, rule of every conflict that the batch's rows met."""
+    mine = p.rows.where(F.col("batch") == batch).select("candidate_id", "ord")
+    return p.conflicts.join(mine, ["candidate_id", "ord"], "left_semi").select("field", "winner", "loser", "rule")
+
+
+def report_row(p: People, batch: str, started_at, finished_at, enrichment: DataFrame | None = None) -> DataFrame:
+    """One row of the report table: run_id, batch, started_at, finished_at and the report with its sixteen keys.
+
+    The report's lists are one row: for batches whose merges, refusals and conflicts fit into one. ``merges``, ``declines``
+    and ``fights`` give them as tables at any size. ``enrichment`` is the row of ``look_up_report``, if there was such a run.
+    """
+    one = F.lit(1).alias("_one")
+    gather = lambda df, name: df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name)).select("*", one)
+    reasons = p.records.where((F.col("batch") == batch) & F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n"))
+    reasons = reasons.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("rejection_reasons")).select("*", one)
+    out = report(p, batch).drop("merges_declined", "conflicts_resolved").select("*", one)
+    for part in (reasons, gather(merges(p, batch), "merges"), gather(declines(p, batch), "merges_declined"), gather(fights(p, batch), "conflicts_resolved")):
+        out = out.join(part, "_one")
+    if enrichment is None:
+        out = out.withColumn("enrichment", F.struct(F.lit(P.LOOKUP_BUDGET).alias("budget_calls")))
+    else:
+        out = out.join(enrichment.select(F.struct(*enrichment.columns).alias("enrichment"), one), "_one")
+    keys = (
+        "batch", "started_at", "duration_ms", "rows_in", "rows_rejected", "rejection_reasons", "entities_created", "entities_updated", "entities_unchanged_noop", "merges", "merges_declined", "fields_changed",
+        "conflicts_resolved", "out_of_order_records", "nulls_ignored", "enrichment",
+    )
+    out = out.withColumns({"started_at": started_at, "finished_at": finished_at, "duration_ms": F.unix_millis(finished_at) - F.unix_millis(started_at)})
+    return out.select(N.deterministic_id("run_", F.col("batch"), F.col("started_at")).alias("run_id"), "batch", "started_at", "finished_at", F.struct(*keys).alias("report"))
+
+
+def write_report(row: DataFrame, path: str) -> None:
+    """The report as one JSON object a line, into a folder named after the batch (without underscores)."""
+    name = row.first()["batch"].replace("_", "")
+    row.select(F.to_json("report", {"ignoreNullFields": "false"})).write.mode("overwrite").text(f"{path.rstrip('/')}/run_report_{name}.json")
+
+
+def append_report(row: DataFrame, path: str) -> None:
+    """Append to the table of reports, which ``search.latest_report`` reads."""
+    row.withColumn("report", F.to_json("report", {"ignoreNullFields": "false"})).write.mode("append").parquet(path)
+
+
 EXPORT_COLUMNS = (
     "candidate_id", "full_name", "current_title", "current_company", "city", "country", "experience_months", "annual_salary_inr", "notice_period_days", "skills", "open_to_work", "primary_email", "primary_phone", "contactable",
     "completeness_score", "source_count", "identity_count", "first_seen_at", "last_seen_at", "enriched", "enrichment_cost_inr", "data_quality_flags",
@@ -204,6 +291,6 @@ def export_rows(candidates: DataFrame, cache: DataFrame | None = None) -> DataFr
     return c.orderBy("created_ord").select(*[F.coalesce(shape.get(n, F.col(n).cast("string")), F.lit("")).alias(n) for n in EXPORT_COLUMNS])
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
+def write_csv(rows: DataFrame, path: str, line_end: str = "\n") -> None:
     """CSV parts with a header, in order; an export of entities, written by as many tasks as it has partitions."""
-    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").option("lineSep", line_end).csv(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators import enrich
-from kinfold.operators.search import search
+from kinfold.operators.search import latest_reports, search
 from kinfold.plans.catalogue import query, table
 from kinfold.plans.merging import _FOLD_RESULT, current, fold, observations
 from kinfold.storage import shared_dir
@@ -111,9 +111,8 @@ def detail_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("q41_latest_report", "SELECT event_type AS batch, arg_max(event_id, (ts, event_id)) AS run_id, max(ts) AS started_at, arg_max(props, (ts, event_id)) AS report FROM events GROUP BY event_type")
-def latest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = F.struct("ts", "event_id")
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("batch")).agg(F.max_by("event_id", last).alias("run_id"), F.max("ts").alias("started_at"), F.max_by("props", last).alias("report"))
+def reports_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_reports(table(spark, sf_dir, "events").select(F.col("event_type").alias("batch"), F.col("event_id").alias("run_id"), F.col("ts").alias("started_at"), F.col("props").alias("report")))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.operators import enrich
 from kinfold.operators.components import connected_components
-from kinfold.operators.search import NotFound, latest_report, search
+from kinfold.operators.search import NotFound, detail, latest_report, search, shape
 from kinfold.plans import people
 from kinfold.sources.crawl import read_provider
 from kinfold.storage import stage
@@ -76,7 +76,14 @@ def test_lookup_spends_once(spark, built):
     p, provider, now = people.build(spark, batch), read_provider(spark, str(d / "provider.json")), F.lit("2024-03-02").cast("timestamp")
     cache = stage(people.look_up(p, provider, None, now, 0), "cache")
     assert cache.count() == 2 and people.look_up(p, provider, cache, now, 0).count() == 0
-    rows = {r.full_name: r for r in people.export_rows(people.build(spark, batch, cache).candidates, cache).collect()}
+    plan = people.look_up_plan(p, None)
+    assert {r.state for r in plan.collect()} == {"selected"} and {r.state for r in people.look_up_plan(p, cache).collect()} == {"cached", "selected"}
+    after = people.build(spark, batch, cache)
+    first = people.look_up_report(p, after, plan, None, cache).first().asDict()
+    assert first == {"rows_in": 3, "budget_calls": 15, "calls_made": 2, "spend_inr": 0.18, "calls_served_from_cache": 0, "negative_cache_hits": 0, "saved_inr": 0.0, "contactable_before": 0, "contactable_after": 1}
+    again = people.look_up_report(after, after, people.look_up_plan(p, cache), cache, people.look_up(p, provider, cache, now, 0)).first().asDict()
+    assert (again["calls_made"], again["calls_served_from_cache"], again["negative_cache_hits"], again["saved_inr"], again["spend_inr"]) == (0, 2, 1, 0.18, 0.0)
+    rows = {r.full_name: r for r in people.export_rows(after.candidates, cache).collect()}
     assert (rows["Cy"].primary_email, rows["Cy"].current_title, rows["Cy"].enriched, rows["Cy"].enrichment_cost_inr) == ("cy@corp.org", "Cook", "true", "0.09")
     assert (rows["Di"].contactable, rows["Di"].enrichment_cost_inr, rows["Ed"].enrichment_cost_inr) == ("false", "0.09", "0.00")
     assert enrich.expire(cache, F.lit("2024-06-01").cast("timestamp")).count() == 1
@@ -89,7 +96,66 @@ def test_search(built):
     with pytest.raises(ValueError):
         search(c, limit=0)
     with pytest.raises(NotFound):
-        latest_report(c.sparkSession.createDataFrame([], "batch string, started_at timestamp"), "none")
+        latest_report(c.sparkSession.createDataFrame([], "run_id string, batch string, started_at timestamp"), "none")
+
+
+def test_detail(built):
+    """One record with identities, provenance by field and the change log, from the built tables."""
+    p = built[2]
+    ann = next(r.candidate_id for r in p.candidates.collect() if r.primary_email == "ann.lee@gmail.com")
+    one = detail(ann, p.candidates, p.identities, p.provenance, p.change_log).first().asDict(recursive=True)
+    assert [(i["type"], i["canonical"]) for i in one["identities"]][0] == ("email", True) and one["emails"][0]["value"] == "ann.lee@gmail.com" and one["phones"] == []
+    assert one["location"]["city"] == "pune" and one["location"]["raw"] == "Pune" and one["normalized_name"] == "ann lee" and one["completeness_score"] > 0.5
+    company = one["field_provenance"]["current_company"]
+    assert (company["value"], company["source_row"], [x["reason"] for x in company["superseded"]]) == ("Beta", 101, ["newer_observation_same_source"])
+    assert one["field_provenance"]["current_title"]["superseded"] == []
+    log = one["change_log"]
+    assert log[-1]["applied_at"] is None and log[-1]["rule"].startswith("REJECTED") and all(e["applied_at"] for e in log if not e["rule"].startswith("REJECTED"))
+    assert {e["field"] for e in log} >= {"current_company", "current_title", "skills"} and len({e["event_id"] for e in log}) == len(log)
+    assert shape(p.candidates).where("skills IS NULL OR data_quality_flags IS NULL").isEmpty()
+    with pytest.raises(NotFound):
+        detail("nobody", p.candidates, p.identities, p.provenance, p.change_log)
+
+
+def test_report_sinks(spark, built, tmp_path):
+    """Sixteen keys, lists included; the table of reports gives the latest of a batch or of all."""
+    p = built[2]
+    time = lambda t: F.lit(t).cast("timestamp")
+    for batch, at in (("b1", "2024-01-10 10:00:00"), ("b2", "2024-02-10 10:00:00"), ("b1", "2024-01-11 10:00:00")):
+        row = stage(people.report_row(p, batch, time(at), time(at) + F.expr("interval 2 seconds")), "report")
+        people.append_report(row, str(tmp_path / "reports"))
+        people.write_report(row, str(tmp_path))
+    reports = spark.read.parquet(str(tmp_path / "reports"))
+    assert latest_report(reports).first().batch == "b2" and str(latest_report(reports, "b1").first().started_at) == "2024-01-11 10:00:00"
+    with pytest.raises(NotFound):
+        latest_report(reports, "b9")
+    one = json.loads(spark.read.text(str(tmp_path / "run_report_b1.json")).first().value)
+    assert len(one) == 16 and one["duration_ms"] == 2000 and one["rejection_reasons"] == {"no_usable_identifier": 1, "unknown_source": 1, "unparseable_json": 2}
+    assert [sorted(m["rows"]) for m in one["merges"]] == [[1, 2]] and one["merges"][0]["rule"] == "email_exact"
+    assert one["merges_declined"] == [{"rows": [1, 4], "reason": "name_match_only_insufficient", "detail": "same normalized_name, different strong identifiers"}]
+    assert {c["field"] for c in one["conflicts_resolved"]} == {"current_title"} and one["enrichment"] == {"budget_calls": 15}
+
+
+def test_csv(built, tmp_path):
+    people.write_csv(people.export_rows(built[2].candidates).coalesce(1), str(tmp_path / "csv"), "\r\n")
+    text = next((tmp_path / "csv").glob("*.csv")).read_bytes().decode()
+    assert text.startswith(",".join(people.EXPORT_COLUMNS) + "\r\n") and text.count("\r\n") == 4 and '""' not in text
+
+
+def test_invariants(built):
+    """What the tables hold at most once: a content, an identity's owner, a field's current value; scores and confidences in range."""
+    p = built[2]
+    several = lambda df, *by: not df.groupBy(*by).count().where("count > 1").isEmpty()
+    assert not several(p.rows, "content_hash") and not several(p.identities, "itype", "match_key") and not several(p.candidates, "candidate_id")
+    assert not several(p.provenance.where("is_current"), "candidate_id", "field")
+    assert p.candidates.where("completeness_score NOT BETWEEN 0 AND 1").isEmpty() and p.identities.where("confidence NOT BETWEEN 0 AND 1").isEmpty()
+
+
+def test_rank_of_a_common_score(spark):
+    """Positions over ranges, most rows having one score."""
+    rows = [(i, 0.5 if i % 5 else i / 1000) for i in range(500)]
+    got = {r.k: r.position for r in enrich.rank_eligible(spark.createDataFrame(rows, "k long, score double").repartition(5), "k", "score").collect()}
+    assert got == {k: n for n, (k, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1)}
 
 
 def test_components(spark):
