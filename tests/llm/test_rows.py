@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -133,6 +134,26 @@ def test_quality_query(spark, small):
         assert not (failed and r.kept)
 
 
+def test_quality_verdicts(spark, small):
+    """kept, from the cutoffs and brute-force features; in strata by literals and joined, with clashing column names."""
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    rows = spark.createDataFrame([("en", "symbols", 0.01), ("en", "capitals", 0.2), ("de", "shouting", 0.001), (None, "symbols", 0.0)], "stratum string, rule string, cutoff double")
+    cut = {(r.stratum, r.rule): r.cutoff for r in rows.collect()}
+    def verdict(text, lang):
+        f = brute_features(text)
+        n = max(f[0], 1)
+        share = {"symbols": f[2] / n, "shouting": (text or "").count("!") / n, "capitals": len(regex.findall(r"\p{Lu}", text or "")) / n}
+        return f[0] >= 50 and 100 * f[4] <= 50 * f[0] and not any(share[r] > cut.get((lang, r), math.inf) for r in share)
+    named = docs.selectExpr("doc_id", "text", "IF(doc_id % 7 = 0, NULL, lang) AS lang", "1 AS n_words", "2 AS _c0", "3 AS _stratum", "4 AS kept")
+    want = {r.doc_id: verdict(r.text, r.lang) for r in named.collect()}
+    assert 0 < sum(want.values()) < len(want)
+    for most in (500, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(quality, "LITERAL_STRATA", most)
+            got = quality.judge(named, rows)
+            assert {"_c0", "_stratum"} <= set(got.columns) and {r.doc_id: r.kept for r in got.collect()} == want
+
+
 def test_quality_edges(spark):
     texts = [None, "", "a b c a b c", "x\n x\n\nx\n", "é# " * 40, "a b c d a b c", "a a a a"]
     df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, rule int")
