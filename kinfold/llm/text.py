@@ -16,7 +16,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 
 #: Bytes of text that one Python step holds at a time; a longer text is a step of its own.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_000_000
 
 #: Bytes from which a word's hash is not the polynomial's.
 LONG_WORD = 64
