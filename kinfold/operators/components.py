@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from kinfold.storage import stage
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """c, m: each node's smallest neighbour; partial minima are shuffled, at most one a node and map task.
+
+    Staged, so that the joins below have plain exchanges on both sides and Spark splits a node of very many edges.
+    """
+    return stage(edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("u", "v")
-    least = both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
-    return both.where("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.least("c", "m").alias("v"))
+    return both.where("v > u").join(_least(both), F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.least("c", "m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+    least = _least(edges)
     lifted = edges.join(least, F.col("u") == F.col("c")).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return lifted.union(least.toDF("u", "v"))
 
@@ -31,7 +38,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", *, rounds
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
     now, before = stage(now, "edges"), None
     for _ in range(rounds):
-        now = stage(_small_star(_large_star(now)).distinct(), "edges")
+        now = stage(_small_star(stage(_large_star(now).distinct(), "edges")).distinct(), "edges")
         after = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if after == before:
             break
