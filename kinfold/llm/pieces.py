@@ -198,20 +198,23 @@ class Lattice:
         # Likely arcs first, so that a draw seldom looks beyond a node's first arc.
         order = np.argsort(self.tail - np.exp(self.log_p) / 2)
         self.head, self.ids, self.weight, self.log_p = self.head[order], self.ids[order], self.weight[order], self.log_p[order]
-        p = np.exp(self.log_p)
-        share = np.cumsum(p)
+        share = np.cumsum(np.exp(self.log_p))
         count = np.diff(self.out)
-        # The mass of each arc's siblings: 1 - p, but for a node's likeliest arc their sum, which doesn't cancel.
-        begins, rest = self.out[:-1][count > 0], -np.expm1(self.log_p)
-        p[begins] = 0
-        if len(begins):
-            rest[begins] = np.add.reduceat(p, begins)
-        with np.errstate(divide="ignore"):
-            self.log_rest = np.log(np.maximum(rest, 0))
         before = np.concatenate(([0.0], share))[self.out[:-1]]
         self.reach = share - np.repeat(before, count)
         self.reach[self.out[1:][count > 0] - 1] = 2.0
 
+    def log_rest(self, arcs: np.ndarray) -> np.ndarray:
+        """The log of the mass of each arc's siblings: 1 - p, but where that cancels (a node's first arc) their sum."""
+        rest = -np.expm1(self.log_p[arcs])
+        most = np.flatnonzero(rest < 1e-6)
+        node = self.tail[arcs[most]]
+        count = self.out[node + 1] - self.out[node] - 1
+        others = np.repeat(self.out[node] + 1 - np.cumsum(count) + count, count) + np.arange(count.sum())
+        rest[most] = np.bincount(np.repeat(np.arange(len(most)), count), np.exp(self.log_p[others]), len(most))
+        with np.errstate(divide="ignore"):
+            return np.log(rest)
+
     def draw(self, node: np.ndarray, end: np.ndarray, uniform) -> tuple[np.ndarray, np.ndarray]:
         """Walks from nodes to ends by arc probability: the arcs in order, and how many each walk took.
 
@@ -282,7 +285,7 @@ def sample(lattice: Lattice, keys: np.ndarray, k: int, seed: int = SEED) -> list
         """The best k sibling sets that the new places of a path leave: (value, path, place, excluded arcs)."""
         text = np.repeat(np.arange(len(which)), count)
         place = np.arange(len(arcs)) - np.repeat(np.cumsum(count) - count, count)
-        location = logs - lattice.log_p[arcs] + lattice.log_rest[arcs]
+        location = logs - lattice.log_p[arcs] + lattice.log_rest(arcs)
         value = _truncated(location, ceiling[text], _uniform(seed, keys[which][text], draw, 2 * (place + base[text]) + 1))
         has = np.flatnonzero(count)
         start = (np.cumsum(count) - count)[has]
