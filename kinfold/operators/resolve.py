@@ -9,13 +9,15 @@ by row, each in one small group, everything else is joins.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import normalize as N
-from kinfold.functions import policy as P
 from kinfold.operators.components import connected_components
+from kinfold.operators.fold import precedence
 from kinfold.sources.crawl import observations
 from kinfold.storage import stage
 from kinfold.workers import ship
@@ -38,30 +40,37 @@ def _signals(observed: DataFrame) -> DataFrame:
 
 
 def blocks(members: DataFrame, signals: DataFrame) -> DataFrame:
-    """component, block: components that a combination may join, by all four values of one row found among another's rows."""
+    """component, block: components that a combination may join, by all four values of one row found among another's rows.
+
+    Each distinct tuple of values looks up the components that have the rarest of its values, these are narrowed by the other
+    three, and all that are left are linked to the tuple rather than to each other. So a name of very many components makes rows
+    only where a tuple has no rarer value.
+    """
     rows = members.join(signals, "content_hash").select("component", *_FOUR)
-    whole = rows.dropna(subset=list(_FOUR)).distinct()
-    found = None
+    values = stage(rows.select("component", F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in _FOUR])).alias("v")).select("component", "v.*").dropna().distinct(), "values")
+    counts = values.groupBy("kind", "value").agg(F.count("*").alias("n"))
+    tuples = stage(rows.dropna(subset=list(_FOUR)).select(*_FOUR).distinct(), "tuples")
+    of = lambda c: counts.where(F.col("kind") == c).select(F.col("value").alias(c), F.col("n").alias("n_" + c))
+    ranked = tuples
     for c in _FOUR:
-        # A component's value of each kind, from whichever row: the four joins narrow one after the other.
-        has = rows.select(F.col("component").alias("other"), F.col(c)).dropna().distinct()
-        found = whole.join(has, c) if found is None else found.join(has, ["other", c], "left_semi")
-        found = found.where("component <> other")
-    return connected_components(found.select(F.col("component").alias("a"), F.col("other").alias("b"))).toDF("component", "block")
-
-
-def _decide(new: dict, cur: dict) -> bool:
-    if new["rank"] != cur["rank"]:
-        return new["rank"] < cur["rank"]
-    if new["time"] != cur["time"]:
-        return new["time"] > cur["time"]
-    return (new["confidence"] or 0) > (cur["confidence"] or 0)
+        ranked = ranked.join(of(c), c)
+    rarest = F.array_min(F.array(*[F.struct(F.col("n_" + c).alias("n"), F.lit(c).alias("kind"), F.col(c).alias("value")) for c in _FOUR]))
+    sought = stage(ranked.withColumn("r", rarest).select(*_FOUR, F.col("r.kind").alias("kind"), F.col("r.value").alias("value")), "sought")
+    found = sought.join(values, ["kind", "value"]).select(*_FOUR, "component")
+    for c in _FOUR:
+        found = found.join(values.where(F.col("kind") == c).select("component", F.col("value").alias(c)), ["component", c], "left_semi")
+    found = stage(found.withColumn("tuple", F.concat(F.lit("~"), F.to_json(F.struct(*_FOUR)))).select("tuple", "component"), "holders")
+    shared = found.groupBy("tuple").agg(F.count("*").alias("n")).where("n > 1").select("tuple")
+    linked = connected_components(found.join(shared, "tuple").select(F.col("component").alias("a"), F.col("tuple").alias("b")))
+    return linked.where(~F.col("node").startswith("~")).select(F.col("node").alias("component"), F.col("component").alias("block"))
 
 
 def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
     """content_hash, entity, combined of the rows of one block; an entity is named by its first row's component."""
     state: dict[str, dict[str, dict]] = {}
     owner: dict[str, str] = {}
+    holders: dict[tuple, set[str]] = defaultdict(set)  # entities by their four values of the moment
+    four = lambda held: tuple(held[f]["key"] if f in held else None for f in _FOUR)
     out = []
     for row in rows.sort_values("position").to_dict("records"):
         combined, entity = False, owner.get(row["component"])
@@ -69,16 +78,20 @@ def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
         if entity is None:
             mine = {f: row[f] for f in _FOUR}
             if all(mine.values()):
-                hits = [e for e, s in state.items() if all(s.get(f, {}).get("key") == mine[f] for f in _FOUR)]
+                hits = holders[tuple(mine.values())]
                 if len(hits) == 1:
-                    entity, combined = hits[0], True
+                    entity, combined = next(iter(hits)), True
             entity = entity or row["component"]
             owner[row["component"]] = entity
         held = state.setdefault(entity, {})
+        before = four(held)
         for f in _FOUR:
             new = seen.get(f)
-            if new is not None and new["value"] is not None and (f not in held or (new["eq"] != held[f]["eq"] and _decide(new, held[f]))):
+            if new is not None and new["value"] is not None and (f not in held or (new["eq"] != held[f]["eq"] and precedence(held[f], new)[0])):
                 held[f] = dict(new)
+        if before != four(held):
+            holders[before].discard(entity)
+            holders[four(held)].add(entity)
         out.append((row["content_hash"], entity, combined))
     return pd.DataFrame(out, columns=["content_hash", "entity", "combined"])
 
@@ -95,7 +108,7 @@ def resolve(accepted: DataFrame) -> DataFrame:
     short = F.create_map(*[F.lit(x) for pair in name.items() for x in pair])[F.col("field")]
     key = F.when(F.col("field") == "current_company", N.company_key(F.col("value"))).when(F.col("field") == "location", F.get_json_object("value", "$.city")).otherwise(F.lower("value"))
     seen = observed.where(F.col("field").isin(*name)).groupBy("content_hash").agg(
-        F.collect_list(F.struct(short.alias("field"), "value", "eq", key.alias("key"), F.unix_micros("time").alias("time"), "confidence", "rank")).alias("observed"), F.to_json(F.first("ord")).alias("_o"), F.first("ord").alias("o")
+        F.collect_list(F.struct(short.alias("field"), "value", "eq", "source", key.alias("key"), F.unix_micros("time").alias("time"), "confidence", "rank")).alias("observed"), F.to_json(F.first("ord")).alias("_o"), F.first("ord").alias("o")
     )
     position = F.concat_ws("|", F.lpad(F.col("o.batch_seq").cast("string"), 9, "0"), "o.crawled_at", F.lpad(F.col("o.source_row_id").cast("string"), 12, "0"), "o.content_hash")
     rows = inside.join(seen, "content_hash").join(signals, "content_hash").select("block", "content_hash", "component", position.alias("position"), "observed", *_FOUR)

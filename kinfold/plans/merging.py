@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators.components import connected_components
+from kinfold.operators import fold as folding
 from kinfold.operators.fold import changes, conflicts, fold, history
 from kinfold.plans.catalogue import query, table
 
@@ -159,7 +160,7 @@ _FOLD_RESULT = _FOLD_SQL + "SELECT user_id, arg_max(x.v, x.ord) AS value, arg_ma
 
 
 def current(folded: DataFrame) -> DataFrame:
-    return folded.where("current IS NOT NULL").select("user_id", F.col("current.value").alias("value"), F.col("current.source").alias("source"), F.col("current.time").cast("timestamp_ntz").alias("observed_at"), F.col("current.confidence").alias("confidence"))
+    return folding.current(folded, ["user_id"]).select("user_id", F.col("current.value").alias("value"), F.col("current.source").alias("source"), F.col("current.time").cast("timestamp_ntz").alias("observed_at"), F.col("current.confidence").alias("confidence"))
 
 
 @query("q22_field_fold", _FOLD_RESULT)
@@ -247,8 +248,8 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     _FOLD_SQL + ", n AS (SELECT user_id, count(*) FILTER (applied AND rule <> 'fill_value') AS updates FROM s GROUP BY user_id) SELECT count(*) FILTER (updates > 0) AS updated, count(*) FILTER (updates = 0) AS unchanged, CAST(sum(updates) AS BIGINT) AS fields_changed FROM n",
 )
 def updated_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updates = F.size(F.filter("steps", lambda s: s["applied"] & (s["rule"] != "fill_value")))
-    n = _folded(spark, sf_dir).where(F.size("steps") > 0).select(updates.alias("updates"))
+    updates = F.count_if(F.col("applied") & (F.col("rule") != "fill_value"))
+    n = _folded(spark, sf_dir).groupBy("user_id").agg(updates.alias("updates"))
     return n.agg(F.count_if(F.col("updates") > 0).alias("updated"), F.count_if(F.col("updates") == 0).alias("unchanged"), F.sum("updates").alias("fields_changed"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import normalize as N
 from kinfold.functions import policy as P
 from kinfold.operators import enrich
-from kinfold.operators.fold import changes, conflicts, fold, history, trust_rank
+from kinfold.operators.fold import changes, conflicts, current, fold, history, trust_rank
 from kinfold.operators.resolve import resolve
 from kinfold.sources.crawl import mail_identifier as _mail
 from kinfold.sources.crawl import observations, read_batches, records
@@ -170,7 +170,7 @@ def _declined(rows: DataFrame) -> DataFrame:
 
 def _candidates(rows: DataFrame, folded: DataFrame, identities: DataFrame, skills: DataFrame, declined: DataFrame) -> DataFrame:
     value = lambda f: F.max(F.when(F.col("field") == f, F.col("current.value"))).alias(f)
-    wide = folded.groupBy("candidate_id").agg(*[value(f) for f in P.FIELDS])
+    wide = current(folded, ["candidate_id", "field"]).groupBy("candidate_id").agg(*[value(f) for f in P.FIELDS])
     base = rows.groupBy("candidate_id").agg(F.min("created_ord").alias("created_ord"), F.min("time").alias("first_seen_at"), F.max("time").alias("last_seen_at"), F.countDistinct("source").alias("source_count"), F.bool_or("combined").alias("_c"))
     ident = identities.groupBy("candidate_id").agg(
         F.count("*").alias("identity_count"), F.bool_or(F.col("itype").isin("email", "phone")).alias("contactable"), F.max(F.when((F.col("itype") == "email") & F.col("is_canonical"), F.col("value"))).alias("primary_email"),
