@@ -16,6 +16,7 @@ MODULES = {
     "op10_substring_dedup": "substring",
     "op8_simhash_near_dedup": "simhash",
     "op6_quality_rules": "quality",
+    "op11_language_id": "languages",
     "op12_source_divergence": "divergence",
     "op13_centroid_clusters": "centroids",
 }
