@@ -1,6 +1,6 @@
 """Main text of HTML pages by a tree-structured graphical model over the DOM.
 
-A page becomes a tree of block elements. Every node is content or not; a node's own evidence (element,
+A page becomes a tree of the block elements that hold text, its leaves being the runs of text. Every node is content or not; a node's own evidence (element,
 words in class, id and role, link density, length) gives its potential, and parent and child share a
 potential that depends on the child's kind of element. The tree has no cycles, so sum-product message
 passing upward and downward yields exact marginals. Weights are fitted by maximum likelihood, whose
@@ -10,8 +10,11 @@ them, made here from templates, since the corpus has no labels for pages.
 A text block belongs to its nearest block element; blocks of nodes with a marginal above one half are
 joined in page order by one ``\\n``. White space inside a block, ``<br>`` included, becomes one space.
 
+Pages are read in one pass over their characters, whatever is left open in them: an unclosed comment, tag or quoted value
+ends the page, as in browsers.
+
 Defined results: null html is an empty page; a page without content has the text ``""``; unclosed and
-stray tags are closed or ignored as browsers do for paragraphs, items and cells; marked sections are comments;
+stray elements are closed or ignored as browsers do for paragraphs, items and cells; marked sections are comments;
 nesting may be of any depth; repeated rows are each extracted; extra columns are left out;
 an empty table gives no rows.
 """
@@ -23,7 +26,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kinfold.llm.text import steps
 from kinfold.workers import map_arrow
 
-TRAINING_PAGES = 300
+TRAINING_PAGES = 420
 
 #: Kinds of block elements; elements in none of these are inline.
 KINDS = {
@@ -52,12 +55,15 @@ KINDS = {
     "figure": ("figure", "figcaption"),
 }
 KIND = {tag: i for i, tags in enumerate(KINDS.values()) for tag in tags}
+#: The kind of a run of text, which is a leaf of its own below the element that it stands in.
+TEXT = len(KINDS)
+N_KINDS = TEXT + 1
 #: Elements whose text is never shown.
-HIDDEN = ("script", "style", "head", "title", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "datalist")
+HIDDEN = ("script", "style", "head", "title", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "datalist", "noembed", "noframes")
+#: Words of notices at the edge of a page.
+NOTICE = re.compile(r"(?i)\u00a9|\bcopyright\b|\ball rights reserved\b|\bcookies?\b")
 #: What may stand in the head; any other element ends it.
 HEAD = ("head", "title", "meta", "link", "style", "script", "base", "noscript", "template")
-#: A document type with declarations of its own.
-INTERNAL_SUBSET = re.compile(r"(?i)<!doctype[^>\[]*\[[^\]]*\]\s*>")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 #: A start tag on the left closes open elements on the right, up to the nearest of the last group.
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",)), "option": (("option",), ("select",))}
@@ -75,7 +81,7 @@ HINTS = {
     "content": "article content post entry story main text body prose",
 }
 HINT_OF = {w: i for i, words in enumerate(HINTS.values()) for w in words.split()}
-N_FEATURES = len(KINDS) + len(HINTS) + 8
+N_FEATURES = 2 * N_KINDS + len(HINTS) + 11
 
 
 @dataclass
@@ -89,12 +95,100 @@ class Tree:
     label: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
-
-class _Reader(HTMLParser):
+    def with_text(self) -> Tree:
+        """The tree without elements that hold no text."""
+        holds = [False] * len(self.parent)
+        for node, _, _ in self.blocks:
+            holds[node] = True
+        for node in range(len(holds) - 1, 0, -1):
+            if holds[node]:
+                holds[self.parent[node]] = True
+        holds[0] = True
+        kept = [node for node, held in enumerate(holds) if held]
+        new = dict(zip(kept, range(len(kept))))
+        pick = lambda x: [x[node] for node in kept]
+        return Tree([new.get(p, -1) for p in pick(self.parent)], pick(self.depth), pick(self.kind), pick(self.hints), pick(self.label), [(new[node], text, n) for node, text, n in self.blocks])
+
+
+#: A tag's name, and one attribute behind it: name, then a quoted or bare value. Possessive, so that no character is read twice.
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_ATTRIBUTE = re.compile(r"[\s/]*+(?:([^\s/>=][^\s/>=]*+|=[^\s/>=]*+)(?:(\s*+=\s*+)(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+)?+")
+_COMMENT_END = re.compile("--!?>")
+#: Characters up to which a document type may start; later ones are read like comments.
+FRONT = 1024
+#: Elements whose inside is text up to their own end tag.
+RAW = ("script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes")
+_RAW_END = {tag: re.compile(rf"(?i)</{tag}(?=[\s/>])") for tag in RAW}
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
+    """("start" | "end" | "text", name or text, attributes) of a page, in one pass over its characters.
+
+    What is never closed ends the page, as in browsers: a comment, a tag, a quoted value. A ``<`` that opens nothing is text.
+    """
+    at, size = 0, len(page)
+    while at < size:
+        lt = page.find("<", at)
+        # Text up to the next "<" that opens something.
+        while 0 <= lt < size - 1 and not (page[lt + 1].isascii() and page[lt + 1].isalpha()) and page[lt + 1] not in "/!?":
+            lt = page.find("<", lt + 1)
+        if lt < 0 or lt == size - 1:
+            yield "text", unescape(page[at:]), {}
+            return
+        if lt > at:
+            yield "text", unescape(page[at:lt]), {}
+        after = page[lt + 1]
+        if after in "!?" or (after == "/" and not page[lt + 2 : lt + 3].isalpha()):
+            at = _end_of_comment(page, lt)
+            if at < 0:
+                return
+            continue
+        name = _NAME.match(page, lt + 1 + (after == "/"))
+        if name is None:
+            at = _end_of_comment(page, lt)
+            if at < 0:
+                return
+            continue
+        tag, given, at = name[0].lower(), {}, name.end()
+        while True:
+            found = _ATTRIBUTE.match(page, at)
+            at = found.end()
+            if found[1]:
+                given.setdefault(found[1].lower(), unescape(found[3] or found[4] or found[5] or ""))
+            if at >= size or (found[2] and found[3] is found[4] is found[5] is None and page[at] in "\"'"):
+                return  # the tag, or a value in it, has no end
+            if page[at] == ">":
+                break
+            if found.end() == found.start():
+                at += 1
+        at += 1
+        yield ("end" if after == "/" else "start"), tag, given
+        if after != "/" and tag in RAW:
+            end = _RAW_END[tag].search(page, at)
+            stop = end.start() if end else size
+            yield "text", (unescape(page[at:stop]) if tag in ("title", "textarea") else page[at:stop]), {}
+            at = stop
+
+
+def _end_of_comment(page: str, lt: int) -> int:
+    """Where a comment, a document type or a marked section is over, or -1."""
+    if page.startswith("<!--", lt):
+        if page.startswith((">", "->"), lt + 4):
+            return page.index(">", lt + 4) + 1
+        end = _COMMENT_END.search(page, lt + 4)
+        return end.end() if end else -1
+    end = page.find(">", lt)
+    # A document type at the front may have declarations of its own, in brackets.
+    if end >= 0 and page[lt + 2 : lt + 9].lower() == "doctype" and lt <= FRONT and (bracket := page.find("[", lt, end)) >= 0:
+        close = page.find("]", bracket)
+        end = page.find(">", close) if close >= 0 else end
+    return end + 1 if end >= 0 else -1
+
+
+class _Reader:
     """Builds the tree; with ``labelled``, elements that carry ``data-content="1"`` are content (training pages only)."""
 
     def __init__(self, labelled: bool = False):
-        super().__init__(convert_charrefs=True)
         self.tree = Tree()
         self.labelled = labelled
         # Open elements with their nodes, and where in that stack each tag stands.
@@ -106,10 +200,22 @@ class _Reader(HTMLParser):
         self.buffer: list[str] = []
         self.linked = 0
 
+    def feed(self, page: str) -> None:
+        step = {"start": self.handle_starttag, "end": lambda tag, _: self.handle_endtag(tag), "text": lambda text, _: self.handle_data(text)}
+        for kind, what, given in tokens(page):
+            step[kind](what, given)
+        self.flush()
+
     def flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
-            self.tree.blocks.append((self.open[-1][1], text, self.linked))
+            t, above = self.tree, self.open[-1][1]
+            t.parent.append(above)
+            t.depth.append(t.depth[above] + 1)
+            t.kind.append(TEXT)
+            t.hints.append(set())
+            t.label.append(t.label[above])
+            t.blocks.append((len(t.parent) - 1, text, self.linked))
         self.buffer, self.linked = [], 0
 
     def cut(self, size: int) -> None:
@@ -123,13 +229,7 @@ class _Reader(HTMLParser):
         """Where the innermost open element of these tags stands, or 0."""
         return max(self.places[t][-1] if self.places.get(t) else 0 for t in tags)
 
-    def parse_html_declaration(self, i):
-        # Marked sections are comments up to the next bracket, as browsers have it.
-        if self.rawdata.startswith("<![", i):
-            return self.parse_bogus_comment(i)
-        return super().parse_html_declaration(i)
-
-    def handle_starttag(self, tag, attrs):
+    def handle_starttag(self, tag, given):
         if self.hidden == "head" and tag not in HEAD:
             self.hidden = ""
         if self.hidden:
@@ -151,7 +251,6 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         t, node = self.tree, self.open[-1][1]
-        given = dict(attrs)
         values = " ".join(given.get(k) or "" for k in ("class", "id", "role")).lower()
         t.parent.append(node)
         t.depth.append(t.depth[node] + 1)
@@ -184,10 +283,6 @@ class _Reader(HTMLParser):
         if at := self.last(tag):
             self.cut(at)
 
-    def handle_startendtag(self, tag, attrs):
-        if tag == "br" or tag in VOID:
-            self.handle_starttag(tag, attrs)
-
     def handle_data(self, data):
         if not self.hidden:
             self.buffer.append(data)
@@ -196,10 +291,8 @@ class _Reader(HTMLParser):
 
 def read_page(html: str, labelled: bool = False) -> Tree:
     reader = _Reader(labelled)
-    reader.feed(INTERNAL_SUBSET.sub("", html))
-    reader.close()
-    reader.flush()
-    return reader.tree
+    reader.feed(html)
+    return reader.tree.with_text()
 
 
 @dataclass
@@ -229,7 +322,10 @@ def forest(trees: list[Tree]) -> Forest:
         for node, text, n in t.blocks:
             chars[f + node] += len(text)
             linked[f + node] += min(n, len(text))
-    own = chars.copy()
+    own, notice = chars.copy(), np.zeros(len(parent), bool)
+    for t, f in zip(trees, first):
+        for node, text, _ in t.blocks:
+            notice[f + node] = len(text) < 300 and NOTICE.search(text) is not None
     for at in _levels(depth)[:0:-1]:
         np.add.at(chars, parent[at], chars[at])
         np.add.at(linked, parent[at], linked[at])
@@ -239,11 +335,17 @@ def forest(trees: list[Tree]) -> Forest:
     for t in trees:
         for hints in t.hints:
             for h in hints:
-                x[node, len(KINDS) + h] = 1
+                x[node, N_KINDS + h] = 1
             node += 1
+    # A run of text also has the kind of the element that it stands in.
+    leaf, k = np.flatnonzero(kind == TEXT), N_KINDS + len(HINTS)
+    x[leaf, k + kind[parent[leaf]]] = 1
+    k += N_KINDS
     density = linked / np.maximum(chars, 1)
-    k = len(KINDS) + len(HINTS)
-    for i, column in enumerate((np.ones(len(parent)), density > 0.5, (density > 0.2) & (density <= 0.5), chars == 0, (chars > 0) & (chars < 25), chars > 200, own > 80, depth <= 1)):
+    plain = chars - linked
+    share = plain / np.maximum(np.repeat(plain[first[:-1]], sizes), 1) if len(parent) else plain
+    shape = (np.ones(len(parent)), density > 0.5, (density > 0.2) & (density <= 0.5), chars == 0, (chars > 0) & (chars < 25), chars > 200, own > 80, depth <= 1, share > 0.5, (share > 0.15) & (share <= 0.5), notice)
+    for i, column in enumerate(shape):
         x[:, k + i] = column
     return Forest(parent, depth, kind, x, first)
 
@@ -284,7 +386,7 @@ def fit(trees: list[Tree], rounds: int = 120, rate: float = 0.15, decay: float =
     f = forest(trees)
     y = np.array([label for t in trees for label in t.label])
     inner = np.flatnonzero(f.parent >= 0)
-    seen = np.zeros((len(KINDS), 2, 2))
+    seen = np.zeros((N_KINDS, 2, 2))
     np.add.at(seen, (f.kind[inner], y[f.parent[inner]], y[inner]), 1)
     x = np.zeros(N_FEATURES + seen.size)
     m, v = np.zeros_like(x), np.zeros_like(x)
@@ -316,7 +418,12 @@ def labelled_pages(n: int, seed: int = 0) -> list[str]:
         return "".join(f'<li data-content="{c}">{say(3, 14) if c else link()}</li>' for _ in range(k))
 
     def boiler() -> str:
-        kind = r.randrange(10)
+        kind = r.randrange(15)
+        if kind >= 10:
+            # Without a name: links one after the other, or a notice.
+            links = r.choice([" ", " | ", "<br>", " &middot; "]).join(link() for _ in range(r.randint(2, 9)))
+            some = r.choice(["&copy; 2020", "Copyright", "All rights reserved"])
+            return [f"<div>{links}</div>", f"<p>{links}</p>", f"<ul>{items(r.randint(2, 8), 0)}</ul>", f"<table><tr><td>{links}</td></tr></table>", r.choice([f"<p>{some} {say(1, 9)}</p>", f"<div>{some} {say(1, 9)}</div>", f"<hr>{links}<hr>"])][kind - 10]
         if kind == 0:
             return f"<nav{cls('menu', 'nav', 'topnav')}><ul>{items(r.randint(2, 9), 0)}</ul></nav>"
         if kind == 1:
@@ -349,6 +456,30 @@ def labelled_pages(n: int, seed: int = 0) -> list[str]:
             body.insert(r.randint(1, len(body)), f'<table data-content="1"><tr data-content="1"><td data-content="1">{say(1, 5)}</td><td data-content="1">{say(1, 9)}</td></tr></table>')
         for _ in range(r.choice([0, 0, 0, 1, 2])):
             body.insert(r.randint(0, len(body)), boiler())
+        if r.random() < 0.15:
+            body.append(f'<{r.choice(["button", "figure"])}>{say(1, 3)}</{"button" if r.random() < 0.5 else "figure"}>')
+        if r.random() < 0.4:
+            # Pages without a named container: none at all, plain boxes, cells, or text between line breaks.
+            if r.random() < 0.4:
+                body = [r.choice(["<br>", "<br><br>", "<hr>"]).join(say(*r.choice([(3, 12), (15, 60), (60, 150)])) for _ in range(r.randint(1, 6)))]
+                body.insert(0, f'<h1 data-content="1">{say(2, 9)}</h1>' if r.random() < 0.5 else "")
+            inside = "".join(body)
+            before, after = ("".join(boiler() for _ in range(r.randint(0, 3))) for _ in range(2))
+            shape = r.randrange(4)
+            if shape == 0:
+                page = f'<body data-content="1">{before}{inside}{after}</body>'
+            elif shape == 1:
+                deep = r.randint(1, 3)
+                page = f'<body>{before}{"<div>" * (deep - 1)}<div data-content="1">{inside}</div>{"</div>" * (deep - 1)}{after}</body>'
+            elif shape == 2:
+                page = f'<body><table><tr><td>{before}</td><td data-content="1">{inside}</td></tr></table>{after}</body>'
+            else:
+                page = f'<body><center>{before}</center><table data-content="1"><tr data-content="1"><td data-content="1">{inside}</td></tr></table>{after}</body>'
+            pages.append(f"<html><head><title>{say(2, 6)}</title></head>{page}</html>")
+            continue
+        for _ in range(r.choice([0, 0, 1, 2])):
+            # Inside an article the words of a notice are text like any other.
+            body.insert(r.randint(len(body) // 2, len(body)), f'<p data-content="1">{r.choice(["All rights reserved.", "Copyright 2019 " + say(1, 4), say(2, 9) + " cookies " + say(2, 9), "&copy; " + say(1, 5)])}</p>')
         tag, names = r.choice([("article", ("post", "story")), ("article", ("",)), ("main", ("content",)), ("div", ("content", "article-body", "post-content", "entry")), ("section", ("content", "story", "article"))])
         named = f' class="{r.choice(names)}"' if tag in ("div", "section") else cls(*names)
         main = f'<{tag}{named} data-content="1">{"".join(body)}</{tag}>'

@@ -253,6 +253,39 @@ WRITTEN = [
     <p>From May the town library opens its doors on Sundays between ten and four, thanks to volunteers.</p><div data-content="popover text"><p>Returns can be left in the box by the door at any hour of the day.</p></div></div>
     <aside class="related"><h4>Related</h4><a href=/x>Old books sold</a></aside><![foo[x]]><![if IE]><!-- c --></body>""",
      ["Library opens on Sundays", "From May the town library opens its doors on Sundays between ten and four, thanks to volunteers.", "Returns can be left in the box by the door at any hour of the day."]),
+    # Pages without containers, tables as layout, line breaks, bare text, single paragraphs.
+    ("<body><h1>Frost in May</h1><p>Gardeners in the valley were surprised by a late frost on Thursday night.</p><p>Covering young plants with fleece is the simplest help.</p></body>",
+     ["Frost in May", "Gardeners in the valley were surprised by a late frost on Thursday night.", "Covering young plants with fleece is the simplest help."]),
+    ("<body><p>The ferry to the island runs twice a day in winter and takes about forty minutes when the sea is calm.</p></body>",
+     ["The ferry to the island runs twice a day in winter and takes about forty minutes when the sea is calm."]),
+    ("<html><head><title>x</title></head><body>Sourdough needs time more than skill. Mix flour, water and salt in the evening and leave the bowl covered until the morning.<br><br>Bake it hot, with steam, for forty minutes.</body></html>",
+     ["Sourdough needs time more than skill. Mix flour, water and salt in the evening and leave the bowl covered until the morning. Bake it hot, with steam, for forty minutes."]),
+    ("<body><div><a href=/>Home</a> <a href=/c>Contact</a> <a href=/m>Map</a></div><div><p>Swifts return to the same nest every year, often within a day or two of the same date, after a winter spent over the forests of central Africa without landing once.</p></div></body>",
+     ["Swifts return to the same nest every year, often within a day or two of the same date, after a winter spent over the forests of central Africa without landing once."]),
+    ("<body><nav><a href=/>Start</a></nav><article><p>The observatory opens its dome to visitors on clear Fridays; warm clothes are advised, for the room isn't heated.</p><button>Share</button></article></body>",
+     ["The observatory opens its dome to visitors on clear Fridays; warm clothes are advised, for the room isn't heated."]),
+    ("<table><tr><td><a href=/1>News</a><br><a href=/2>Sport</a><br><a href=/3>Weather</a></td><td><h2>Bridge closed for repairs</h2><p>The old stone bridge will be closed to cars from Monday, the district said.</p><p>Cyclists may use the footpath on the northern side.</p></td></tr></table>",
+     ["Bridge closed for repairs", "The old stone bridge will be closed to cars from Monday, the district said.", "Cyclists may use the footpath on the northern side."]),
+    ("<body><center><a href=/>Index</a> | <a href=/old>Archive</a></center><hr><h1>On sharpening knives</h1>Hold the blade at a low angle and draw it over the stone with even strokes, always from heel to tip.<p>A leather strop takes off the burr.<hr><p>Copyright 2003 by the author</p></body>",
+     ["On sharpening knives", "Hold the blade at a low angle and draw it over the stone with even strokes, always from heel to tip.", "A leather strop takes off the burr."]),
+    ("<body><main><h1>Council minutes</h1><p>The chair opened the meeting at seven.</p><h2>Roads</h2><p>Potholes in Mill Lane will be filled before winter.</p><ol><li>Grant for the choir: agreed.</li><li>New benches: deferred.</li></ol></main><footer><a href=/imprint>Imprint</a></footer></body>",
+     ["Council minutes", "The chair opened the meeting at seven.", "Roads", "Potholes in Mill Lane will be filled before winter.", "Grant for the choir: agreed.", "New benches: deferred."]),
+    ("<body><div id=header><h1>Hill Walkers Club</h1></div><div id=menu><ul><li><a href=/a>Walks</a></li><li><a href=/b>Members</a></li></ul></div><div id=main><h2>Autumn programme</h2><p>We meet at the station at nine and share cars to the start of each walk.</p><p>Bring food for the whole day, since there is no inn on the way.</p></div><div id=footer>Page kept by the secretary</div></body>",
+     ["Autumn programme", "We meet at the station at nine and share cars to the start of each walk.", "Bring food for the whole day, since there is no inn on the way."]),
+    ("<body><section class=story><h1>A second life for sails</h1><p>Old sails become bags in a workshop by the harbour.</p><figure><img src=x><figcaption>Worn cloth waits to be cut.</figcaption></figure><p>Each bag keeps the numbers of the boat that it came from, and buyers like that.</p></section><section class=related><h3>More</h3><a href=/p>Nets into carpets</a><a href=/q>Ropes into mats</a></section></body>",
+     ["A second life for sails", "Old sails become bags in a workshop by the harbour.", "Worn cloth waits to be cut.", "Each bag keeps the numbers of the boat that it came from, and buyers like that."]),
+    ("<body><div class=wrapper><div class=breadcrumb><a href=/>Home</a> &gt; <a href=/k>Kitchen</a></div><div class=entry><h1>Pickled plums</h1><p>Salt the plums and weigh them down for three weeks.</p><table><tr><th>Plums</th><td>2 kg</td></tr><tr><th>Salt</th><td>300 g</td></tr></table><p>Dry them in the sun for three days before storing them in jars.</p></div><div class=share><a href=#>Send</a> <a href=#>Save</a></div></div></body>",
+     ["Pickled plums", "Salt the plums and weigh them down for three weeks.", "Plums", "2 kg", "Salt", "300 g", "Dry them in the sun for three days before storing them in jars."]),
+    ("<body><article><h1>Why bells crack</h1><p>Bronze is hard but brittle, and a clapper that always strikes one spot wears it thin.</p><blockquote>Turn a bell every fifty years, founders say.</blockquote><pre>strike note: 440 Hz</pre></article><div class=comments><ol><li><p>Ours was turned in 1950 and still rings well.</p></li><li><p>Great read, thanks!</p></li></ol></div></body>",
+     ["Why bells crack", "Bronze is hard but brittle, and a clapper that always strikes one spot wears it thin.", "Turn a bell every fifty years, founders say.", "strike note: 440 Hz"]),
+    ("<body><div><div><div><h1>Night buses</h1><p>Lines N1 and N4 run every half hour between midnight and five on weekends.</p><p>A day ticket is valid until the first tram of the morning.</p></div></div></div><div class=popup><p>Subscribe to our letter and never miss a thing.</p><button>Yes</button></div></body>",
+     ["Night buses", "Lines N1 and N4 run every half hour between midnight and five on weekends.", "A day ticket is valid until the first tram of the morning."]),
+    ("<body><header class=masthead><a href=/>The Sentinel</a></header><div class=content><div class=ad>Shoes at half price, this week only</div><h1>Dry summer, early harvest</h1><p>Farmers began to cut barley two weeks sooner than usual.</p><div class=ad>Rent a van today</div><p>Yields are lower but the grain is of good quality, the cooperative reports.</p></div><aside><h3>Weather</h3><p>Sunny, 31 degrees.</p></aside></body>",
+     ["Dry summer, early harvest", "Farmers began to cut barley two weeks sooner than usual.", "Yields are lower but the grain is of good quality, the cooperative reports."]),
+    ("<body><ul><li><a href=/1>One</a><li><a href=/2>Two</a><li><a href=/3>Three</a></ul><h1>Learning to row</h1><p>The first lesson is spent on land, where the boat cannot tip.<p>The second lesson is wet.<p>By the fifth most people keep a straight course.<address>Boathouse, Lower Quay</address></body>",
+     ["Learning to row", "The first lesson is spent on land, where the boat cannot tip.", "The second lesson is wet.", "By the fifth most people keep a straight course."]),
+    ("<body><div class=cookie-notice><p>This site uses cookies.</p></div><main><article class=post><h1>Repairing a clock</h1><p>Let the spring down before you open the case, <a href=/why>for good reasons</a>.</p><p>Clean the pivots with a soft stick and <em>very</em> little oil.</p></article></main><div class=newsletter><form><label>Mail</label><input><button>Go</button></form></div><footer class=site-footer><p>&copy; 2021 Clockwork</p></footer></body>",
+     ["Repairing a clock", "Let the spring down before you open the case, for good reasons.", "Clean the pivots with a soft stick and very little oil."]),
 ]
 
 
@@ -260,7 +293,8 @@ def test_html_pages_not_from_the_generator():
     """Blocks found of those wanted, and wanted of those found: nine tenths at least."""
     got = [x.split("\n") for x in html.content([p for p, _ in WRITTEN], html.trained())]
     hits = sum(b in g for g, (_, want) in zip(got, WRITTEN) for b in want)
-    assert hits >= 0.9 * sum(len(want) for _, want in WRITTEN) and hits >= 0.9 * sum(map(len, got)), got
+    # Recall and precision of blocks.
+    assert hits >= 0.95 * sum(len(want) for _, want in WRITTEN) and hits >= 0.95 * sum(map(len, got)), [(g, want) for g, (_, want) in zip(got, WRITTEN) if g != want]
     assert not any(x in "\n".join(map("\n".join, got)) for x in ("hidden", "]>", "x]]"))
 
 
@@ -275,7 +309,25 @@ def test_html_deep_pages():
     deep = "<div>" * 5000 + '<div class="ad">buy now and save</div><article><p>' + "plain words " * 40 + "</p></article>"
     assert html.content([deep], html.trained()) == [("plain words " * 40).strip()]
     tree = html.read_page("<div>" * 5000 + "<ul class=menu><li>x")
-    assert max(tree.depth) == 5002 and len(tree.parent) == 5003
+    # The root, the elements, and the text as a leaf.
+    assert max(tree.depth) == 5003 and len(tree.parent) == 5004
+
+
+@pytest.mark.parametrize("open_", ["<a ", "<!--", "<![", "</", '<a x="', "<!doctype [>", "<!---->", "<script>", "<", "&", "<a =", "<svg>", "<?", "<p ", "<a x='"])
+def test_html_time_is_linear(open_):
+    import time
+
+    html.trained()
+    page, began = open_ * (1_000_000 // len(open_)), time.process_time()
+    html.content([page], html.trained())
+    assert time.process_time() - began < 4  # two seconds on an idle machine
+
+
+def test_html_reads_what_browsers_read():
+    read = lambda page: [text for _, text, _ in html.read_page(page).blocks]
+    assert read("<p>a < b <3 &lt;i> c") == ["a < b <3 <i> c"] and read("<p title='x>y' a=1/>one</p ><div/>two") == ["one", "two"]
+    assert read("x<!-- <p>no</p> --!>y<!>z</>w") == ["xyzw"] and read("a<b c=\"d>e") == ["a"] and read("<title>t<p></title>a<textarea><b>x</textarea>") == ["a", "<b>x"]
+    assert read("<script>if (a<b) '</scr'</script>q<style></style>r") == ["qr"] and read('<p a="1"b=\'2\'c>s</P>') == ["s"] and read("") == []
 
 
 def test_html_messages_are_exact():
