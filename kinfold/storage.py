@@ -1,16 +1,21 @@
-"""Tables cut out of a running query and written to the folder that the cluster shares."""
+"""Tables cut out of a running query and written to the folder that the cluster shares.
+
+A staged table lasts as long as a plan that reads it: ``sweep`` deletes those that nobody can read any more.
+"""
 
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-_recorders: list[list[str]] = []
+#: Weak references to the file lists of the staged tables, with their paths: every plan over a table holds its list.
+_staged: list[tuple[object, str, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,28 +44,39 @@ def stage(df: DataFrame, name: str, *, partition_by: list[str] | None = None) ->
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/kinfold-{name}-{uuid.uuid4().hex}"
-    for paths in _recorders:
-        paths.append(path)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(spark, path, df.schema)
+
 
+def written(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table of ours in the shared folder, which ``sweep`` deletes when nobody can read it any more."""
+    table = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    files = table._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+    _staged.append((spark._jvm.java.lang.ref.WeakReference(files), path, spark.sparkContext.applicationId))
+    return table
 
-@contextmanager
-def recorded() -> Iterator[list[str]]:
-    """The paths of the tables staged inside, as a handle for ``release``."""
-    paths: list[str] = []
-    _recorders.append(paths)
-    try:
-        yield paths
-    finally:
-        _recorders[:] = [r for r in _recorders if r is not paths]
 
+def sweep(spark: SparkSession) -> int:
+    """Delete the staged tables that no DataFrame of this application can reach; how many went.
 
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete these tables, once what reads them has been written."""
+    Any frame derived from a table keeps it, in Python or on the JVM's side; garbage is collected first to tell.
+    """
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
-    paths.clear()
+    for _ in range(3):  # what has just run is let go a moment later
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.05)
+    kept, gone = [], 0
+    for entry in _staged:
+        reference, path, application = entry
+        if application != spark.sparkContext.applicationId:
+            continue
+        if reference.get() is None:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+            gone += 1
+        else:
+            kept.append(entry)
+    _staged[:] = kept
+    return gone
