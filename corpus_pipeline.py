@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import alike, lines, packing, quality, simhash, substring
 from kinfold.operators.components import connected_components
-from kinfold.storage import recorded, release, shared_dir, stage
+from kinfold.storage import shared_dir, stage, sweep, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,20 +27,13 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.where(packing.n_words(F.col("text")) > 0).select(*COLUMNS)
 
 
-#: Tables that the chain's latest stage has staged, by session.
-_made: dict[str, list[str]] = {}
-
-
 def _stage(step):
-    """A stage of the chain: its input has been written, so that what the chain's last stage staged goes."""
+    """A stage of the chain; what earlier stages staged goes first, so far as nobody can read it any more."""
 
     @wraps(step)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, _made.pop(spark.sparkContext.applicationId, []))
-        with recorded() as paths:
-            found = step(spark, docs, sf_dir)
-        _made[spark.sparkContext.applicationId] = list(paths)
-        return found
+        sweep(spark)
+        return step(spark, docs, sf_dir)
 
     return run
 
@@ -112,5 +105,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
     for k, (_, step) in enumerate(STAGES[:-1]):
         step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+        docs = written(spark, f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)

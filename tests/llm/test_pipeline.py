@@ -36,6 +36,15 @@ def test_stages(spark, small, tmp_path):
     assert words == {i: n for i, n in want.items() if n}
 
 
+def test_two_chains_at_once(spark, small):
+    """Results of one chain stay readable while another runs."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(40)
+    packed = [corpus_pipeline.pack(spark, docs.limit(n), small) for n in (20, 30)]
+    rated = corpus_pipeline.quality_rules(spark, docs, small)
+    last = corpus_pipeline.pack(spark, rated, small)
+    assert [p.select("doc_id").distinct().count() for p in packed] == [20, 30] and last.count() >= rated.count() > 0
+
+
 def test_empty_documents(spark, small, tmp_path):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
