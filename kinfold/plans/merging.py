@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from kinfold.operators.components import connected_components
 from kinfold.operators import fold as folding
 from kinfold.operators.fold import changes, conflicts, fold, history
+from kinfold.operators.forest import links, merge_history
 from kinfold.plans.catalogue import query, table
+from kinfold.storage import stage
 
 _RANKS = {"purchase": 0, "signup": 1, "click": 1, "view": 2, "error": 99}
 _ARRIVAL = "(event_id * 7919) % 1000003"
@@ -131,6 +133,30 @@ def components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(table(spark, sf_dir, "events").select(user.alias("a"), F.concat(F.lit("k"), _k().cast("string")).alias("b")))
 
 
+@query(
+    "q49_survivor_all",
+    _ALL_COMPONENTS_SQL.replace("SELECT node, component FROM k UNION SELECT e.a, k.component FROM e JOIN k ON e.b = k.node", "")
+    + """, u AS (SELECT DISTINCT CAST(substr(e.a, 2) AS BIGINT) AS user_id, k.component FROM e JOIN k ON e.b = k.node), f AS (SELECT user_id, min(ts) AS first_seen FROM events GROUP BY 1)
+SELECT component, arg_min(user_id, (first_seen, user_id)) AS survivor, min(first_seen) AS first_seen, count(*) AS members FROM u JOIN f USING (user_id) GROUP BY component""",
+)
+def survivor_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q21_survivor over the components of every event."""
+    users = components_all(spark, sf_dir).where(F.col("node").startswith("u")).select(F.substr("node", F.lit(2)).cast("long").alias("user_id"), "component")
+    first = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("first_seen"))
+    return users.join(first, "user_id").groupBy("component").agg(F.min_by("user_id", F.struct("first_seen", "user_id")).alias("survivor"), F.min("first_seen").alias("first_seen"), F.count("*").alias("members"))
+
+
+@query("q48_merge_events")
+def merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of arrival as rows with two identifiers, user and key: which entities became one, and at which event."""
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("node"), F.expr(_ARRIVAL).alias("ord"), F.col("ts").cast("timestamp").alias("time"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("u"), F.concat(F.lit("k"), _k().cast("string")).alias("k"))
+    e = stage(e, "events")
+    edges = stage(links(e, e.select("node", F.explode(F.array("u", "k")).alias("key"))), "links")
+    parts = connected_components(edges)
+    rows = stage(e.join(parts, "node", "left").select("node", "ord", "time", F.coalesce("component", "node").alias("entity")), "rows")
+    return merge_history(rows, edges)[1].select("survivor", "loser", "ord", F.col("node").alias("event_id"))
+
+
 def observations(events: DataFrame) -> DataFrame:
     """Events as observations of one field of their user; small values say nothing."""
     rank = F.create_map(*[F.lit(x) for pair in _RANKS.items() for x in pair])
