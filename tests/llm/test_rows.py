@@ -154,6 +154,22 @@ def test_quality_verdicts(spark, small):
             assert {"_c0", "_stratum"} <= set(got.columns) and {r.doc_id: r.kept for r in got.collect()} == want
 
 
+def test_repeated_rows_certify_nothing(spark, monkeypatch):
+    """A good document repeated a thousand times is one document, whether labels are broadcast or joined."""
+    rows = [(1, "word " * 60, "en")] * 1000 + [(2, "# " * 90, "en")] * 30
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([(1, 1), (2, 0)] * 3, "doc_id long, quality int")
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(quality, "BROADCAST_LABELS", most)
+        assert quality.certified_cutoffs(docs, labels).isEmpty()
+    many = spark.createDataFrame([(i, "word " * 60 + "#" * (i % 5 == 0) * 80, "en") for i in range(4000)] * 2, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(4000)], "doc_id long, quality int")
+    found = []
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(quality, "BROADCAST_LABELS", most)
+        found.append(sorted(map(tuple, quality.certified_cutoffs(many, marks).collect())))
+    assert found[0] == found[1] and 1400 < found[0][0][3] < 1800
+
+
 def test_quality_edges(spark):
     texts = [None, "", "a b c a b c", "x\n x\n\nx\n", "é# " * 40, "a b c d a b c", "a a a a"]
     df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, rule int")
