@@ -4,7 +4,7 @@ Rows that share an identifier are one entity, whatever the order they came in: c
 The combination rule depends on order and on the entity's values of the moment: a row without a
 known identifier joins the only entity that has its name, company, city and title. Entities that a
 combination could ever join form a block; only blocks with more than one component are folded row
-by row, each in one small group, everything else is joins.
+by row, each in one small group, everything else is joins. Where the rows are few, they are one block.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import normalize as N
-from kinfold.operators.components import connected_components
+from kinfold.operators.components import LOCAL_EDGES, connected_components
 from kinfold.operators.fold import precedence
 from kinfold.sources.crawl import observations
 from kinfold.storage import stage
@@ -66,14 +66,18 @@ def blocks(members: DataFrame, signals: DataFrame) -> DataFrame:
 
 
 def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """content_hash, entity, combined of the rows of one block; an entity is named by its first row's component."""
+    """content_hash, entity, combined, via of the rows of one block; an entity is named by its first row's component.
+
+    ``via`` is a row that the entity had when the combination rule attached one.
+    """
     state: dict[str, dict[str, dict]] = {}
     owner: dict[str, str] = {}
+    latest: dict[str, str] = {}
     holders: dict[tuple, set[str]] = defaultdict(set)  # entities by their four values of the moment
     four = lambda held: tuple(held[f]["key"] if f in held else None for f in _FOUR)
     out = []
     for row in rows.sort_values("position").to_dict("records"):
-        combined, entity = False, owner.get(row["component"])
+        combined, via, entity = False, None, owner.get(row["component"])
         seen = {f["field"]: f for f in row["observed"]}
         if entity is None:
             mine = {f: row[f] for f in _FOUR}
@@ -81,6 +85,7 @@ def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
                 hits = holders[tuple(mine.values())]
                 if len(hits) == 1:
                     entity, combined = next(iter(hits)), True
+                    via = latest[entity]
             entity = entity or row["component"]
             owner[row["component"]] = entity
         held = state.setdefault(entity, {})
@@ -92,17 +97,20 @@ def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
         if before != four(held):
             holders[before].discard(entity)
             holders[four(held)].add(entity)
-        out.append((row["content_hash"], entity, combined))
-    return pd.DataFrame(out, columns=["content_hash", "entity", "combined"])
+        latest[entity] = row["content_hash"]
+        out.append((row["content_hash"], entity, combined, via))
+    return pd.DataFrame(out, columns=["content_hash", "entity", "combined", "via"])
 
 
 def resolve(accepted: DataFrame) -> DataFrame:
-    """content_hash, entity, combined (the row was attached by the combination rule) for every accepted row."""
+    """content_hash, entity, combined (the row was attached by the combination rule), via (to which row) for every accepted row."""
     ship(accepted.sparkSession)
     members = stage(strong_components(accepted), "strong")
     observed = observations(accepted)
     signals = stage(_signals(observed), "signals")
-    block = stage(blocks(members, signals), "blocks")
+    # A counted, small number of rows is one block; any union of blocks gives the same.
+    small = members.count() <= LOCAL_EDGES
+    block = members.select("component").distinct().withColumn("block", F.lit("all")) if small else stage(blocks(members, signals), "blocks")
     inside = members.join(block, "component")
     name = {"full_name": "name", "current_company": "company", "location": "city", "current_title": "title"}
     short = F.create_map(*[F.lit(x) for pair in name.items() for x in pair])[F.col("field")]
@@ -112,6 +120,6 @@ def resolve(accepted: DataFrame) -> DataFrame:
     )
     position = F.concat_ws("|", F.lpad(F.col("o.batch_seq").cast("string"), 9, "0"), "o.crawled_at", F.lpad(F.col("o.source_row_id").cast("string"), 12, "0"), "o.content_hash")
     rows = inside.join(seen, "content_hash").join(signals, "content_hash").select("block", "content_hash", "component", position.alias("position"), "observed", *_FOUR)
-    folded = rows.groupBy("block").applyInPandas(lambda pdf: _fold_block(pdf.astype(object).where(pdf.notna(), None)), "content_hash string, entity string, combined boolean")
-    alone = members.join(block, "component", "left_anti").select("content_hash", F.col("component").alias("entity"), F.lit(False).alias("combined"))
+    folded = rows.groupBy("block").applyInPandas(lambda pdf: _fold_block(pdf.astype(object).where(pdf.notna(), None)), "content_hash string, entity string, combined boolean, via string")
+    alone = members.join(block, "component", "left_anti").select("content_hash", F.col("component").alias("entity"), F.lit(False).alias("combined"), F.lit(None).cast("string").alias("via"))
     return alone.union(folded)

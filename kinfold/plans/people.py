@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import normalize as N
 from kinfold.functions import policy as P
 from kinfold.operators import enrich
+from kinfold.operators.forest import links, merge_history
 from kinfold.operators.fold import changes, conflicts, current, fold, history, trust_rank
 from kinfold.operators.resolve import resolve
 from kinfold.sources.crawl import mail_identifier as _mail
@@ -30,6 +31,8 @@ class People:
     change_log: DataFrame
     conflicts: DataFrame
     declined: DataFrame
+    merged: DataFrame  # survivor, loser, ord, row: when two candidates became one
+    folded: DataFrame
 
 
 def build(spark: SparkSession, batches: list[tuple[str, str]], cache: DataFrame | None = None) -> People:
@@ -39,25 +42,45 @@ def build(spark: SparkSession, batches: list[tuple[str, str]], cache: DataFrame
     the batch that they followed; they take no part in matching rows.
     """
     rec = stage(records(read_batches(spark, batches)), "records")
-    accepted = rec.where("reason IS NULL")
+    return derive(rec, rec.where("reason IS NULL"), cache)
+
+
+def derive(rec: DataFrame, accepted: DataFrame, cache: DataFrame | None = None, owners: DataFrame | None = None, namesakes: DataFrame | None = None) -> People:
+    """The tables of ``accepted`` rows, which hold whole entities and whole blocks of entities that a combination may join.
+
+    ``owners`` (itype, match_key, candidate_id, ord) and ``namesakes`` (as of ``namesakes_of``) are what other entities hold of the
+    identifiers that look-ups gave, and of the names.
+    """
     linked = stage(accepted.join(resolve(accepted), "content_hash"), "linked")
-    first = linked.groupBy("entity").agg(F.min("ord").alias("created_ord"))
-    linked = linked.join(first, "entity").withColumn("created", F.col("ord") == F.col("created_ord"))
-    entity_id = N.deterministic_id("cand_", F.col("created_ord"))
-    linked = stage(linked.withColumn("candidate_id", entity_id), "rows")
-    identities = _identities(linked, cache)
+    nodes = linked.select(F.col("content_hash").alias("node"), "ord", F.to_timestamp("crawled_at").alias("time"), "entity")
+    keys = linked.select(F.col("content_hash").alias("node"), F.explode("identifiers").alias("i")).select("node", F.concat("i.itype", F.lit(":"), "i.match_key").alias("key"))
+    combined = linked.where("via IS NOT NULL").select(F.col("via").alias("a"), F.col("content_hash").alias("b"), F.col("ord").alias("w"))
+    joined, merged, final = merge_history(nodes, links(nodes, keys).union(combined))
+    identity = lambda c: N.deterministic_id("cand_", F.col(c))
+    named = nodes.select(F.col("node"), F.col("ord").alias("created_ord"))
+    first = final.join(named.withColumnRenamed("node", "survivor"), "survivor").select("entity", "created_ord")
+    linked = linked.join(joined.withColumnRenamed("node", "content_hash"), "content_hash").join(first, "entity")
+    linked = stage(linked.withColumns({"created": (F.col("joined") == 0), "candidate_id": identity("created_ord")}), "rows")
+    whose = lambda c: named.select(F.col("node").alias(c), identity("created_ord").alias(f"{c}_id"))
+    rows_of = linked.select(F.col("content_hash").alias("node"), "batch", F.col("source_row_id").alias("row"), "candidate_id")
+    merged = stage(merged.join(whose("survivor"), "survivor").join(whose("loser"), "loser").join(rows_of, "node").select(F.col("survivor_id").alias("survivor"), F.col("loser_id").alias("loser"), "ord", "batch", "row", "candidate_id"), "merged")
+    if cache is not None:
+        # Look-ups of a candidate that was merged later belong to the survivor.
+        later = merged.select(F.col("loser").alias("candidate_id"), F.col("candidate_id").alias("_now"))
+        cache = cache.join(later, "candidate_id", "left").withColumn("candidate_id", F.coalesce("_now", "candidate_id")).drop("_now")
+    identities = _identities(linked, cache, owners)
     # The strongest identifier that an earlier row of the entity already had names the rule.
-    strength = F.array_position(F.array(*map(F.lit, P.IDENTIFIER_STRENGTH)), F.col("i.itype"))
-    known = linked.select("candidate_id", "content_hash", "ord", F.explode("identifiers").alias("i")).join(identities.select("candidate_id", "itype", "match_key", "first_ord"), ["candidate_id"])
-    known = known.where((F.col("i.itype") == F.col("itype")) & (F.col("i.match_key") == F.col("match_key")) & (F.col("first_ord") < F.col("ord")))
+    strength = F.array_position(F.array(*map(F.lit, P.IDENTIFIER_STRENGTH)), F.col("itype"))
+    held = linked.select("candidate_id", "content_hash", "ord", F.explode("identifiers").alias("i")).select("candidate_id", "content_hash", "ord", "i.itype", "i.match_key")
+    known = held.join(identities.select("candidate_id", "itype", "match_key", "first_ord"), ["candidate_id", "itype", "match_key"]).where(F.col("first_ord") < F.col("ord"))
     rule = known.groupBy("content_hash").agg(F.concat(F.min_by("itype", strength), F.lit("_exact")).alias("strong"))
     rows = linked.join(rule, "content_hash", "left").withColumn(
         "rule", F.when(F.col("created"), None).when(F.col("combined"), "name_company_location").otherwise(F.coalesce("strong", F.lit("entity_merge")))
     )
-    rows = rows.withColumn("outcome", F.when(F.col("created"), "create").when(F.col("rule") == "entity_merge", "entity_merge").otherwise("attach"))
+    rows = rows.withColumn("outcome", F.when(F.col("created"), "create").when(F.col("joined") > 1, "entity_merge").otherwise("attach"))
     seen = Window.partitionBy("candidate_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("time", F.to_timestamp("crawled_at")).withColumn("out_of_order", F.coalesce(F.col("time") < F.max("time").over(seen), F.lit(False)))
-    rows = stage(rows, "rows")
+    rows = stage(rows.drop("strong", "via", "joined"), "rows")
     seen_fields = observations(rows).join(rows.select("content_hash", "candidate_id"), "content_hash")
     if cache is not None:
         seen_fields = seen_fields.unionByName(_looked_up_fields(cache), allowMissingColumns=True)
@@ -68,8 +91,9 @@ def build(spark: SparkSession, batches: list[tuple[str, str]], cache: DataFrame
     log = log.select("candidate_id", "field", "ord", "batch", "rule", "applied", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"), F.col("new.source").alias("source"))
     skill_log, skill_sets = _skills(rows)
     log = stage(log.unionByName(skill_log, allowMissingColumns=True), "changes")
-    declined = _declined(rows)
-    return People(rec, rows, _candidates(rows, folded, identities, skill_sets, declined), identities, history(folded, by), log, conflicts(folded, by), declined)
+    declined = stage(_declined(namesakes_of(rows) if namesakes is None else namesakes_of(rows).unionByName(namesakes)), "declined")
+    candidates = stage(_candidates(rows, folded, identities, skill_sets, declined), "candidates")
+    return People(rec, rows, candidates, identities, history(folded, by), log, conflicts(folded, by), declined, merged, folded)
 
 
 def _looked_up(cache: DataFrame) -> DataFrame:
@@ -86,11 +110,12 @@ def _looked_up_fields(cache: DataFrame) -> DataFrame:
     return each.select("candidate_id", "ord", "source", "time", "confidence", "f.*").withColumn("rank", trust_rank(F.col("field"), F.col("source")))
 
 
-def _looked_up_identifiers(cache: DataFrame, owned: DataFrame) -> DataFrame:
+def _looked_up_identifiers(cache: DataFrame, owned: DataFrame, owners: DataFrame | None = None) -> DataFrame:
     """Identifiers of responses, less those that another candidate owns."""
     found = _looked_up(cache).select("candidate_id", "ord", "source", "confidence", F.explode(F.array_compact(F.array(_mail(F.col("work_email")), _mail(F.col("personal_email")), _phone(F.col("mobile"))))).alias("i"))
     found = found.select("candidate_id", "ord", "source", "confidence", "i.*")
-    owner = owned.groupBy("itype", "match_key").agg(F.min_by("candidate_id", "ord").alias("owner"))
+    owned = owned.select("itype", "match_key", "candidate_id", "ord")
+    owner = (owned if owners is None else owned.unionByName(owners)).groupBy("itype", "match_key").agg(F.min_by("candidate_id", "ord").alias("owner"))
     return found.join(owner, ["itype", "match_key"], "left").where(F.coalesce(F.col("owner") == F.col("candidate_id"), F.lit(True))).drop("owner")
 
 
@@ -137,12 +162,12 @@ def look_up_report(before: People, after: People, plan: DataFrame, cache: DataFr
     return out
 
 
-def _identities(rows: DataFrame, cache: DataFrame | None = None) -> DataFrame:
+def _identities(rows: DataFrame, cache: DataFrame | None = None, owners: DataFrame | None = None) -> DataFrame:
     """One row for each (candidate, type, key); canonical: work mail first, then the most confident, then the first seen."""
     confidence = F.create_map(*[F.lit(x) for pair in P.CONFIDENCE.items() for x in pair])
     i = rows.select("candidate_id", "ord", "source", F.explode("identifiers").alias("i")).select("candidate_id", "ord", "source", confidence[F.col("source")].alias("confidence"), "i.*")
     if cache is not None:
-        i = i.unionByName(_looked_up_identifiers(cache, i))
+        i = i.unionByName(_looked_up_identifiers(cache, i, owners))
     one = i.groupBy("candidate_id", "itype", "match_key").agg(
         F.min_by("value", "ord").alias("value"), F.min_by("email_type", "ord").alias("email_type"), F.array_sort(F.collect_set("raw_form")).alias("raw_forms"), F.array_sort(F.collect_set("source")).alias("observed_in"),
         F.max("confidence").alias("confidence"), F.min("ord").alias("first_ord"), F.max_by("source", "ord").alias("latest_source"),
@@ -160,12 +185,16 @@ def _skills(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log, each.groupBy("candidate_id").agg(F.array_sort(F.collect_set("skill")).alias("skills"))
 
 
-def _declined(rows: DataFrame) -> DataFrame:
-    """Pairs of rows whose entities share a name and nothing stronger: the later entity's first row and the name's first row."""
+def namesakes_of(rows: DataFrame) -> DataFrame:
+    """candidate_id, ord, source_row_id, batch, name of the rows that created an entity and have a name."""
     name = F.lower(F.filter("fields", lambda f: f["field"] == "full_name")[0]["value"])
-    created = rows.where("created").select("candidate_id", "ord", "source_row_id", "batch", F.when(F.exists("fields", lambda f: f["field"] == "full_name"), name).alias("name")).where("name IS NOT NULL")
+    return rows.where("created").select("candidate_id", "ord", "source_row_id", "batch", F.when(F.exists("fields", lambda f: f["field"] == "full_name"), name).alias("name")).where("name IS NOT NULL")
+
+
+def _declined(created: DataFrame) -> DataFrame:
+    """Pairs of rows whose entities share a name and nothing stronger: the later entity's first row and the name's first row."""
     first = created.groupBy("name").agg(F.min_by(F.struct("candidate_id", "source_row_id"), "ord").alias("f"))
-    return created.join(first, "name").where("candidate_id <> f.candidate_id").select("batch", "candidate_id", F.col("f.candidate_id").alias("other_id"), F.array_sort(F.array("f.source_row_id", "source_row_id")).alias("rows"))
+    return created.join(first, "name").where("candidate_id <> f.candidate_id").select("name", "batch", "candidate_id", F.col("f.candidate_id").alias("other_id"), F.array_sort(F.array("f.source_row_id", "source_row_id")).alias("rows"))
 
 
 def _candidates(rows: DataFrame, folded: DataFrame, identities: DataFrame, skills: DataFrame, declined: DataFrame) -> DataFrame:
@@ -195,9 +224,10 @@ def report(p: People, batch: str) -> DataFrame:
     """One row: the counters of a batch."""
     mine = F.col("batch") == batch
     rows, log = p.rows.where(mine), p.change_log.where(mine)
+    created = rows.where("created").agg(F.count("*").alias("entities_created"))
     touched = rows.groupBy("candidate_id").agg(F.bool_or("created").alias("created"))
     changed = log.where("applied").groupBy("candidate_id").count()
-    split = touched.join(changed, "candidate_id", "left").agg(F.count_if("created").alias("entities_created"), F.count_if(~F.col("created") & (F.col("count") > 0)).alias("entities_updated"), F.count_if(~F.col("created") & F.col("count").isNull()).alias("entities_unchanged_noop"))
+    split = touched.join(changed, "candidate_id", "left").agg(F.count_if(~F.col("created") & (F.col("count") > 0)).alias("entities_updated"), F.count_if(~F.col("created") & F.col("count").isNull()).alias("entities_unchanged_noop"))
     all_rows = p.records.where(mine).agg(F.count("*").alias("rows_in"), F.count("reason").alias("rows_rejected"))
     until = rows.agg(F.max("ord.batch_seq").alias("_until"))
     rows_of = p.rows.join(F.broadcast(until), F.col("ord.batch_seq") <= F.col("_until")).join(touched.select("candidate_id"), "candidate_id", "left_semi").groupBy("candidate_id").agg(F.count("*").alias("n"))
@@ -208,7 +238,7 @@ def report(p: People, batch: str) -> DataFrame:
     declined = p.declined.where(mine).agg(F.count("*").alias("merges_declined"))
     one = F.lit(1).alias("_one")
     out = all_rows.withColumn("_one", one)
-    for part in (split, merged, declined, counts, met, late):
+    for part in (created, split, merged, declined, counts, met, late):
         out = out.join(part.withColumn("_one", one), "_one")
     return out.select(F.lit(batch).alias("batch"), *[c for c in out.columns if c != "_one"])
 
