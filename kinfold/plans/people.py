@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ from kinfold.operators.resolve import resolve
 from kinfold.sources.crawl import mail_identifier as _mail
 from kinfold.sources.crawl import observations, read_batches, records
 from kinfold.sources.crawl import phone_identifier as _phone
-from kinfold.storage import stage
+from kinfold.storage import shared_dir, stage
 
 
 @dataclass
@@ -324,3 +325,69 @@ def export_rows(candidates: DataFrame, cache: DataFrame | None = None) -> DataFr
 def write_csv(rows: DataFrame, path: str, line_end: str = "\n") -> None:
     """CSV parts with a header, in order; an export of entities, written by as many tasks as it has partitions."""
     rows.write.mode("overwrite").option("header", True).option("emptyValue", "").option("lineSep", line_end).csv(path)
+
+
+def write_csv_file(rows: DataFrame, order: list[str], path: str, line_end: str = "\n") -> None:
+    """One CSV file with one header, in order, written by as many tasks as there are ranges.
+
+    The parts are ranges of the order, written without a header; they are then joined byte by byte through the Hadoop file
+    system, the header first, and the finished file takes its name in one step. The driver copies streams and holds no rows.
+    """
+    spark = rows.sparkSession
+    parts = f"{shared_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    columns = [c for c in rows.columns if c not in order]
+    shaped = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
+    shaped.write.option("emptyValue", "").option("lineSep", line_end).csv(parts)
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new = jvm.org.apache.hadoop.fs.Path
+    source, target, draft = new(parts), new(path), new(f"{path}._draft-{uuid.uuid4().hex}")
+    fs, to = source.getFileSystem(conf), target.getFileSystem(conf)
+    out = to.create(draft, True)
+    try:
+        out.write(bytearray((",".join(columns) + line_end).encode()))
+        for name in sorted(x.getPath().getName() for x in fs.listStatus(source) if x.getPath().getName().startswith("part-")):
+            part = fs.open(new(f"{parts}/{name}"))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            part.close()
+    finally:
+        out.close()
+    to.delete(target, False)
+    to.rename(draft, target)
+    fs.delete(source, True)
+
+
+def valid_times(provenance: DataFrame) -> DataFrame:
+    """candidate_id, field, value, source, rule, valid_from, valid_to: which value of a field was current over which part of the order.
+
+    ``valid_from`` is the order of the row that set the value, ``valid_to`` that of the row that replaced it (excluded; null: still current).
+    """
+    seen = provenance.select("candidate_id", "field", "version", F.col("observation.value").alias("value"), F.col("observation.source").alias("source"), F.col("observation.time").alias("observed_at"), "rule", F.col("observation.ord").alias("valid_from"))
+    after = seen.select("candidate_id", "field", (F.col("version") - 1).alias("version"), F.col("valid_from").alias("valid_to"))
+    return seen.join(after, ["candidate_id", "field", "version"], "left")
+
+
+def values_at(valid: DataFrame, moments: DataFrame) -> DataFrame:
+    """candidate_id, at, field, value, source, observed_at: what was current just after the row of order ``at``, for each moment (candidate_id, at).
+
+    Moments and the intervals' starts of a field are sorted together and each moment takes the last start before it, so that
+    a candidate of very many moments and intervals costs their sum and not their product.
+    """
+    starts = valid.select("candidate_id", "field", F.col("valid_from").alias("at"), F.lit(0).alias("asked"), F.struct("value", "source", "observed_at").alias("held"))
+    asked = moments.select("candidate_id", "at").distinct().join(valid.select("candidate_id", "field").distinct(), "candidate_id")
+    both = starts.unionByName(asked.withColumn("asked", F.lit(1)), allowMissingColumns=True)
+    before = Window.partitionBy("candidate_id", "field").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("held", F.last("held", ignorenulls=True).over(before)).where("asked = 1 AND held IS NOT NULL").select("candidate_id", "at", "field", "held.*")
+
+
+def attributions(p: People, candidate_id: str) -> DataFrame:
+    """Why a record says what it says: the current value of each field with its source, row and rule."""
+    now = p.provenance.where((F.col("candidate_id") == candidate_id) & F.col("is_current"))
+    o = F.col("observation")
+    return now.select("field", o["value"].alias("value"), o["source"].alias("source"), o["ord"]["source_row_id"].alias("source_row"), o["time"].alias("observed_at"), o["confidence"].alias("confidence"), "rule").orderBy("field")
+
+
+def change_history(p: People, candidate_id: str) -> DataFrame:
+    """What changed in a record, newest first; refused changes, which were never applied, last."""
+    mine = p.change_log.where(F.col("candidate_id") == candidate_id)
+    applied = F.when(F.col("applied"), F.try_to_timestamp(F.regexp_replace("ord.crawled_at", "^~", "")))
+    return mine.select("field", "old_value", "new_value", "source", F.col("ord.source_row_id").alias("source_row"), "batch", "rule", applied.alias("applied_at")).orderBy(F.col("applied_at").desc_nulls_last(), "field", "source_row")

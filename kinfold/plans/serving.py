@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.operators import enrich
+from kinfold.operators.fold import history
+from kinfold.operators.postings import like, write_postings
 from kinfold.operators.search import latest_reports, search
 from kinfold.plans.catalogue import query, table
-from kinfold.plans.merging import _FOLD_RESULT, current, fold, observations
-from kinfold.storage import shared_dir
+from kinfold.plans.merging import _ARRIVAL, _FOLD_RESULT, _FOLD_SQL, current, fold, observations
+from kinfold.plans.people import valid_times, values_at
+from kinfold.plans.quarantine import Check, Reference, Unique, write_checked
+from kinfold.storage import shared_dir, stage, written
+from kinfold.streaming.archive import Archive
 from kinfold.streaming.replay import ingest_stream
 
 
@@ -182,3 +187,70 @@ def dedup_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = d.withColumn("w", F.array_sort(F.collect_list("ratio").over(week)))
     middle = (F.get("w", F.floor((F.size("w") - 1) / 2).cast("int")) + F.get("w", F.floor(F.size("w") / 2).cast("int"))) / 2
     return d.select("day", F.round("ratio", 6).alias("ratio"), F.round(middle, 6).alias("median_7d"))
+
+
+@query(
+    "q50_postings_search",
+    "SELECT p_partkey, p_name, p_type FROM part WHERE p_name ILIKE '%t_g%' OR p_type ILIKE '%t_g%' OR p_name ILIKE '%mall%rin%' OR p_type ILIKE '%mall%rin%' OR p_name ILIKE '%STAND%' OR p_type ILIKE '%STAND%'",
+)
+def postings_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by substring patterns through an index of n-grams; the first pattern is too short for it and scans."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    path = f"{shared_dir(spark).rstrip('/')}/postings-{uuid.uuid4().hex}"
+    fields = ["p_name", "p_type"]
+    write_postings(part, "p_partkey", fields, path)
+    index = written(spark, path)
+    found = [like(part, index, "p_partkey", fields, pattern) for pattern in ("t_g", "mall%rin", "STAND")]
+    return found[0].union(found[1]).union(found[2]).distinct()
+
+
+@query(
+    "q51_valid_time",
+    _FOLD_SQL
+    + """, h AS (SELECT user_id, x.ord AS valid_from, lead(x.ord) OVER (PARTITION BY user_id ORDER BY x.ord) AS valid_to, x.v AS value, x.s AS source FROM s WHERE applied),
+m AS (SELECT DISTINCT user_id, ((event_id * 7919) % 1000003) AS "at" FROM events WHERE event_type = 'signup')
+SELECT m.user_id, m."at", value, source FROM m JOIN h ON m.user_id = h.user_id AND valid_from <= m."at" AND (valid_to IS NULL OR m."at" < valid_to)""",
+)
+def valid_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value of every user at each of their sign-ups, from the intervals over which values were current."""
+    e = table(spark, sf_dir, "events")
+    folded = stage(fold(observations(e).withColumn("field", F.lit("k")), ["user_id", "field"]), "folded")
+    seen = history(folded, ["user_id", "field"]).withColumnRenamed("user_id", "candidate_id")
+    valid = valid_times(seen)
+    moments = e.where("event_type = 'signup'").select(F.col("user_id").alias("candidate_id"), F.expr(_ARRIVAL).alias("at")).distinct()
+    return values_at(valid, moments).select(F.col("candidate_id").alias("user_id"), "at", "value", "source")
+
+
+@query(
+    "q52_quarantine",
+    """
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice, l_partkey, l_suppkey) AS n FROM lineitem),
+j AS (SELECT l_quantity > 45 AS quantity, l_discount > 0.09 AS discount, n > 1 AS line, NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P') AS open_order FROM l)
+SELECT constraint_name, CAST(n AS BIGINT) AS n FROM (SELECT 'rows' AS constraint_name, count(*) AS n FROM j UNION ALL SELECT 'kept', count(*) FILTER (NOT (quantity OR discount OR line OR open_order)) FROM j
+UNION ALL SELECT 'quantity_range', count(*) FILTER (quantity) FROM j UNION ALL SELECT 'discount_range', count(*) FILTER (discount) FROM j UNION ALL SELECT 'unique_line', count(*) FILTER (line) FROM j
+UNION ALL SELECT 'order_exists', count(*) FILTER (open_order) FROM j)
+""",
+)
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under four constraints, written once; the counts are observed by that write."""
+    known = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select("o_orderkey")
+    constraints = [
+        Check("quantity_range", F.col("l_quantity") <= 45), Check("discount_range", F.col("l_discount") <= 0.09), Unique("unique_line", ("l_orderkey", "l_linenumber"), ("l_extendedprice", "l_partkey", "l_suppkey")),
+        Reference("order_exists", "l_orderkey", known),
+    ]
+    path = f"{shared_dir(spark).rstrip('/')}/quarantine-{uuid.uuid4().hex}"
+    counts = write_checked(table(spark, sf_dir, "lineitem"), constraints, path)
+    written(spark, path)
+    return spark.createDataFrame(sorted(counts.items()), "constraint_name string, n long")
+
+
+@query("q53_archive_append", "SELECT event_type, count(*) AS stored FROM events GROUP BY event_type")
+def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events into the bucketed archive in three overlapping parts: every content is stored once."""
+    e = table(spark, sf_dir, "events")
+    rows = e.withColumn("content_hash", F.sha2(F.to_json(F.struct(*e.columns)), 256))
+    name = f"archive_{uuid.uuid4().hex}"
+    archive = Archive(spark, name, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), path=f"{shared_dir(spark).rstrip('/')}/{name}")
+    for part in (rows.where("event_id % 3 < 2"), rows.where("event_id % 3 > 0"), rows.union(rows)):
+        archive.append(part)
+    return archive.table().groupBy("event_type").agg(F.count("*").alias("stored"))
