@@ -63,15 +63,17 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 def pack(docs: DataFrame, length: Column, *, doc_id: str = "doc_id", max_tokens: int = MAX_TOKENS, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET) -> DataFrame:
     """doc_id, chunk, start, n_tokens, boundary, batch, slot, padding of every sequence; (boundary, batch) names a batch."""
     # Lengths are written once: the histogram, the offsets and the numbering each read them.
-    sized = stage(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("_n")), "lengths")
+    sized = stage(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"), F.monotonically_increasing_id().alias("_row")), "lengths")
     chunks = F.greatest(F.ceil(F.col("_n") / max_tokens), F.lit(1)).cast("long")
-    rows = sized.select("doc_id", "_n", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
-    rows = rows.select("doc_id", "chunk", (F.col("chunk") * max_tokens).alias("start"), F.least(F.lit(max_tokens), F.col("_n") - F.col("chunk") * max_tokens).alias("n_tokens"))
+    rows = sized.select("doc_id", "_n", "_row", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
+    rows = rows.select("doc_id", "_row", "chunk", (F.col("chunk") * max_tokens).alias("start"), F.least(F.lit(max_tokens), F.col("_n") - F.col("chunk") * max_tokens).alias("n_tokens"))
     histogram = rows.groupBy("n_tokens").agg(F.count("*").alias("c")).collect()
     edges = boundaries(np.array([r[0] for r in histogram]), np.array([r[1] for r in histogram]), buckets) if histogram else [0]
     slices = max(1, sum(r[1] for r in histogram) // SLICE)
+    # Rows of one id (or none) and length are dealt onto slices too, by a number that each has in its written part.
+    salt = F.when(F.col("doc_id").isNull(), F.col("_row")).otherwise(F.lit(0))
     boundary = F.element_at(F.filter(F.array(*map(F.lit, edges)), lambda e: e >= F.col("n_tokens")), 1).cast("long")
-    rows = rows.withColumn("boundary", boundary).withColumn("slice", F.pmod(F.xxhash64("doc_id", "chunk", "n_tokens"), F.lit(slices)))
+    rows = rows.withColumn("boundary", boundary).withColumn("slice", F.pmod(F.xxhash64("doc_id", "chunk", "n_tokens", salt), F.lit(slices)))
     before = Window.partitionBy("boundary").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("boundary", "slice").agg(F.count("*").alias("c")).withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
     inside = Window.partitionBy("boundary", "slice").orderBy("doc_id", "chunk")

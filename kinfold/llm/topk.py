@@ -15,8 +15,8 @@ the larger of ``q * largest`` and ``q * smallest``: no document of the block sco
    scored, for ties go to the smaller id). The k best of each shard are merged by rank.
 
 How much is pruned depends on the vectors: little of it where they lie in all directions alike, most where
-they form clusters. Scores are exact: float64 carries them below 2**53, int64 below 2**63; where a product could
-leave that range, the search raises OverflowError.
+they form clusters. Scores are exact: float64 carries them below 2**53, int64 below 2**63, Python's integers where parts of a sum
+leave that range; a score that itself is beyond a long raises OverflowError.
 
 Pivots are PIVOTS rows at most (those of the smallest hashes); they set the order of documents, never the result.
 
@@ -66,20 +66,31 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def products(q: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Exact inner products of all rows of q with all of d."""
-    reach = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
-    most = reach(q) * reach(d) * q.shape[1]
+def products(q: np.ndarray, d: np.ndarray, *, saturate: bool = False, ignored: np.ndarray | None = None) -> np.ndarray:
+    """Exact inner products of all rows of q with all of d.
+
+    The arithmetic is chosen by what these rows can reach, not by the largest components of either side. A product
+    beyond a long raises, unless it is ignored, or with ``saturate`` (for bounds) becomes the largest or smallest long.
+    """
+    # Python's integers where long magnitudes could wrap; the sum over components bounds every product of a row.
+    most = float((np.abs(q.astype(float)) @ np.abs(d.astype(float)).max(axis=0, initial=0)).max(initial=0)) * (1 + 1e-9)
     if most < 2**53:
         return (q.astype(float) @ d.T.astype(float)).astype(np.int64)
-    if most >= 2**63:
-        raise OverflowError(f"a score of these vectors may reach {most}, beyond a long")
-    return q @ d.T
+    if most < 2**63:
+        return q @ d.T
+    exact = q.astype(object) @ d.T.astype(object)
+    over = (np.abs(exact) > _LAST) & (True if ignored is None else ~ignored)
+    if not saturate and over.any():
+        i, j = (int(x[0]) for x in np.nonzero(over))
+        raise OverflowError(f"a score is {exact[i, j]}, beyond a long: components up to {np.abs(q[i].astype(object)).max()} and {np.abs(d[j].astype(object)).max()}")
+    return np.clip(exact, -_LAST, _LAST).astype(np.int64)
 
 
 def bounds(q: np.ndarray, top: np.ndarray, low: np.ndarray) -> np.ndarray:
     """What no document between ``low`` and ``top`` can exceed."""
-    return products(np.maximum(q, 0), top) + products(np.minimum(q, 0), low)
+    up, down = (products(f(q, 0), x, saturate=True) for f, x in ((np.maximum, top), (np.minimum, low)))
+    most = up.astype(float) + down.astype(float)
+    return np.where(np.abs(most) < 2**62, up + down, np.where(most > 0, _LAST, -(2**61)))
 
 
 def search_blocks(queries: pd.DataFrame, docs: pd.DataFrame, k: int) -> tuple[pd.DataFrame, int]:
@@ -106,8 +117,9 @@ def search_blocks(queries: pd.DataFrame, docs: pd.DataFrame, k: int) -> tuple[pd
         for b in np.unique(block):
             rows = alive[block == b]
             s = slice(edges[b], stops[b])
-            score = products(q[rows], d[s])
-            score[own[rows][:, None] == keys[s][None, :]] = _NONE
+            mine = own[rows][:, None] == keys[s][None, :]
+            score = products(q[rows], d[s], ignored=mine)
+            score[mine] = _NONE
             both = np.concatenate((best_score[rows], score), axis=1)
             ids = np.concatenate((best_key[rows], np.broadcast_to(keys[s], score.shape)), axis=1)
             pick = np.lexsort((ids, ~both), axis=1)[:, :k]

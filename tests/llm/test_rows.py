@@ -86,6 +86,18 @@ def test_products_are_exact():
     assert topk.products(near, near)[0, 0] == 2**52 + 2**50 and topk.products(2 * near, 2 * near)[0, 0] == 2**54 + 2**52
     with pytest.raises(OverflowError):
         topk.products(np.array([[2**32]]), np.array([[2**31]]))
+    # Large components that meet small ones, or cancel out, are no overflow.
+    far = np.array([[2**53, 1], [1, 2]])
+    assert topk.products(far, np.array([[3, 2**50], [0, 7]])).tolist() == [[3 * 2**53 + 2**50, 7], [3 + 2**51, 14]]
+    assert topk.products(np.array([[2**40, 2**40]]), np.array([[2**30, -(2**30) + 1]])).tolist() == [[2**40]]
+    assert topk.bounds(np.array([[2**40, -1]]), np.array([[2**30, 5]]), np.array([[-(2**30), 2]])).tolist() == [[2**63 - 1]]
+    assert topk.bounds(np.array([[2**40]]), np.array([[-(2**30)]]), np.array([[-(2**31)]]))[0, 0] >= -(2**63)
+
+
+def test_top_k_with_a_far_vector(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(60)] + [(60, [1e11, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=2).where("rank = 1 AND query_id IN (20, 60)").orderBy("query_id").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(60, 6 * 1024 * 10**11 * 1024), (6, 6 * 1024 * 10**11 * 1024)]  # its product with itself is beyond a long
 
 
 def test_top_k_prunes_clusters(spark, monkeypatch):
@@ -218,6 +230,15 @@ def test_boundaries_are_optimal(histogram, buckets):
     assert cost(edges) == best and len(edges) <= buckets
 
 
+def test_packing_of_rows_without_ids(spark, monkeypatch):
+    """Rows without an id are dealt onto slices like others and numbered without gaps."""
+    monkeypatch.setattr(packing, "SLICE", 16)
+    docs = spark.createDataFrame([(None, "a b c")] * 300 + [(1, None)], "doc_id long, text string")
+    got = packing.pack(docs, packing.n_words(F.col("text")), max_tokens=8, buckets=2, token_budget=30).collect()
+    threes = sorted((r.batch, r.slot) for r in got if r.n_tokens == 3)
+    assert len(got) == 301 and threes == [(i // 10, i % 10) for i in range(300)]
+
+
 def test_packing(spark):
     lengths = [0, None, 5, 5, 9000, 4096, 4097] + [random.Random(1).randint(1, 300) for _ in range(300)]
     df = spark.createDataFrame([(i, n, "x") for i, n in enumerate(lengths)] + [(2, 5, "x")], "doc_id long, n int, batch string")
