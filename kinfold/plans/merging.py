@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.operators.components import connected_components
 from kinfold.operators import fold as folding
 from kinfold.operators.fold import changes, conflicts, fold, history
 from kinfold.operators.forest import links, merge_history
+from kinfold.operators.prefix import earlier_maximum
 from kinfold.plans.catalogue import query, table
 from kinfold.storage import stage
 
@@ -233,9 +234,8 @@ def skills_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH e AS (SELECT user_id, ts, max(ts) OVER (PARTITION BY user_id ORDER BY {_ARRIVAL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events) SELECT user_id, count(*) AS n, count(*) FILTER (ts < seen) AS out_of_order FROM e GROUP BY user_id",
 )
 def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = Window.partitionBy("user_id").orderBy(F.expr(_ARRIVAL)).rowsBetween(Window.unboundedPreceding, -1)
-    e = table(spark, sf_dir, "events").withColumn("seen", F.max("ts").over(before))
-    return e.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("ts") < F.col("seen")).alias("out_of_order"))
+    e = earlier_maximum(table(spark, sf_dir, "events").select("user_id", "ts", F.expr(_ARRIVAL).alias("arrival")), "user_id", "arrival", "ts")
+    return e.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("ts") < F.col("earlier")).alias("out_of_order"))
 
 
 @query("q29_seen_window", "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(DISTINCT event_type) AS source_count FROM events GROUP BY user_id")

@@ -13,6 +13,7 @@ from kinfold.functions import policy as P
 from kinfold.operators import enrich
 from kinfold.operators.forest import links, merge_history
 from kinfold.operators.fold import changes, conflicts, current, fold, history, trust_rank
+from kinfold.operators.prefix import earlier_maximum
 from kinfold.operators.resolve import resolve
 from kinfold.sources.crawl import mail_identifier as _mail
 from kinfold.sources.crawl import observations, read_batches, records
@@ -79,9 +80,8 @@ def derive(rec: DataFrame, accepted: DataFrame, cache: DataFrame | None = None,
         "rule", F.when(F.col("created"), None).when(F.col("combined"), "name_company_location").otherwise(F.coalesce("strong", F.lit("entity_merge")))
     )
     rows = rows.withColumn("outcome", F.when(F.col("created"), "create").when(F.col("joined") > 1, "entity_merge").otherwise("attach"))
-    seen = Window.partitionBy("candidate_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("time", F.to_timestamp("crawled_at")).withColumn("out_of_order", F.coalesce(F.col("time") < F.max("time").over(seen), F.lit(False)))
-    rows = stage(rows.drop("strong", "via", "joined"), "rows")
+    rows = earlier_maximum(rows.drop("strong", "via", "joined").withColumn("time", F.to_timestamp("crawled_at")), "candidate_id", "ord", "time")
+    rows = stage(rows.withColumn("out_of_order", F.coalesce(F.col("time") < F.col("earlier"), F.lit(False))).drop("earlier"), "rows")
     seen_fields = observations(rows).join(rows.select("content_hash", "candidate_id"), "content_hash")
     if cache is not None:
         seen_fields = seen_fields.unionByName(_looked_up_fields(cache), allowMissingColumns=True)

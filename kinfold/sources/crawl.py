@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,14 +85,10 @@ def phone_identifier(raw: Column) -> Column:
     return N.let(N.phone(raw), lambda p: _identifier("phone", raw, p))
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """One row a line: batch, batch_seq, content_hash, source, source_row_id, crawled_at, reason (null if accepted), name, identifiers, fields, skills.
-
-    Reasons: ``unparseable_json`` (or no object), ``unknown_source``, ``bad_row`` (no crawl time),
-    ``no_usable_identifier``. Of equal contents the first in order stays.
-    """
+@lru_cache(maxsize=4)
+def _columns(application: str) -> list[Column]:
+    """What a line gives in ``v``; made once an application, for it takes thousands of expressions."""
     v = F.col("v")
-    parsed = lines.withColumn("v", F.try_parse_json("line")).withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), v))
     source = _text(v, "_src")
     pick = lambda a, b, c: F.when(source == P.SOURCES[0], a).when(source == P.SOURCES[1], b).when(source == P.SOURCES[2], c)
     title = lambda name, key: _field(v, name, key, N.clean(_text(v, key)))
@@ -109,10 +107,20 @@ def records(lines: DataFrame) -> DataFrame:
         ),
         F.array(name("name"), _field(v, "current_company", "company", F.regexp_replace(N.clean(_text(v, "company")), "^@", "")), _place(v, "location"), _field(v, "open_to_work", "hireable", _flag(v, "hireable"))),
     )
-    out = parsed.select(
-        "batch_seq", "batch", N.content_hash(F.col("line")).alias("content_hash"), source.alias("source"), F.try_variant_get(v, "$._row", "int").alias("source_row_id"), _text(v, "_crawled_at").alias("crawled_at"), v.isNull().alias("_bad"),
+    return [
+        F.col("batch_seq"), F.col("batch"), N.content_hash(F.col("line")).alias("content_hash"), source.alias("source"), F.try_variant_get(v, "$._row", "int").alias("source_row_id"), _text(v, "_crawled_at").alias("crawled_at"), v.isNull().alias("_bad"),
         F.array_compact(identifiers).alias("identifiers"), F.array_compact(fields).alias("fields"), pick(_skills(v, "skills"), _skills(v, "key_skills"), _skills(v, "top_languages")).alias("skills"),
-    )
+    ]
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """One row a line: batch, batch_seq, content_hash, source, source_row_id, crawled_at, reason (null if accepted), name, identifiers, fields, skills.
+
+    Reasons: ``unparseable_json`` (or no object), ``unknown_source``, ``bad_row`` (no crawl time),
+    ``no_usable_identifier``. Of equal contents the first in order stays.
+    """
+    parsed = lines.withColumn("v", F.try_parse_json("line")).withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
+    out = parsed.select(*_columns(lines.sparkSession.sparkContext.applicationId))
     reason = (
         F.when(F.col("_bad"), "unparseable_json").when(~F.coalesce(F.col("source").isin(*P.SOURCES), F.lit(False)), "unknown_source")
         .when(F.try_to_timestamp("crawled_at").isNull(), "bad_row").when(F.size("identifiers") == 0, "no_usable_identifier")

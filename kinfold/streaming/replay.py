@@ -11,9 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from kinfold.storage import stage
+
 
 def append_new(rows: DataFrame, stored_path: str, key: str = "content_hash") -> DataFrame:
-    """Append to the stored table those rows whose key it lacks, once each; return what was new."""
+    """Append to the stored table those rows whose key it lacks, once each; return what was new.
+
+    One writer at a time: two that append at once may both store a row that is new to both. Every append reads the keys of
+    all that is stored; ``archive.Archive`` has a table that isn't read whole.
+    """
     spark = rows.sparkSession
     fresh = rows.dropDuplicates([key])
     try:
@@ -23,7 +29,7 @@ def append_new(rows: DataFrame, stored_path: str, key: str = "content_hash") ->
             raise
     else:
         fresh = fresh.join(stored.select(key), key, "left_anti")
-    fresh = fresh.select(*rows.columns)
+    fresh = stage(fresh.select(*rows.columns), "fresh")  # else what is returned would be looked up again after the append
     fresh.write.mode("append").parquet(stored_path)
     return fresh
 

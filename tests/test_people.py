@@ -89,6 +89,16 @@ def test_lookup_spends_once(spark, built):
     assert enrich.expire(cache, F.lit("2024-06-01").cast("timestamp")).count() == 1
 
 
+def test_look_up_states(spark, tmp_path):
+    """Seventeen without mail and phone: one has no handle, the budget pays for fifteen, one is over it."""
+    lonely = [{"_src": "linkedin_scraper", "_row": i, "_crawled_at": "2024-03-01T00:00:00Z", "profile_url": f"linkedin.com/in/n{i}", "full_name": f"N{i}", "current_title": "Cook" if i else None} for i in range(16)]
+    lonely += [{"_src": "github_crawl", "_row": 20, "_crawled_at": "2024-03-01T00:00:00Z", "login": "zed", "name": "Zed"}, {"_src": "linkedin_scraper", "_row": 21, "_crawled_at": "2024-03-01T00:00:00Z", "profile_url": "linkedin.com/in/m", "full_name": "M", "email": "m@corp.org"}]
+    p = people.build(spark, [("b", _write(tmp_path / "l.jsonl", lonely))])
+    plan = [(r.state, r.lookup_key) for r in people.look_up_plan(p, None).collect()]
+    assert sorted(s for s, _ in plan) == ["no_key", "over_budget"] + ["selected"] * 15
+    assert ("no_key", None) in plan and ("over_budget", "n0") in plan  # the one with the least known about it
+
+
 def test_search(built):
     c = built[2].candidates
     assert search(c, q="beta")[0] == 1 and search(c, role="chef")[0] == 1 and search(c, location="PUNE")[0] == 1
@@ -166,6 +176,6 @@ def test_components(spark):
 
 def test_append_new(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1)], "content_hash string, x int")
-    assert append_new(rows, str(tmp_path / "t")).count() >= 0
-    append_new(rows, str(tmp_path / "t"))
+    assert sorted(r.content_hash for r in append_new(rows, str(tmp_path / "t")).collect()) == ["a", "b"]
+    assert append_new(rows, str(tmp_path / "t")).count() == 0
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2

@@ -70,6 +70,22 @@ def test_postings_equal_a_scan(spark):
     assert pattern_grams("ab%Abc_d\\%ef") == ["abc", "d%e", "%ef"] and pattern_grams("ab") == []
 
 
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_earlier_maximum(spark, ranges):
+    """A key with nine tenths of the rows, null keys and values; in ranges that split it."""
+    from kinfold.operators.prefix import earlier_maximum
+
+    r = random.Random(ranges)
+    rows = [("hot" if r.random() < 0.9 else r.choice(["a", "b", None]), i, r.choice([None, r.randrange(99)])) for i in range(400)]
+    df = spark.createDataFrame(r.sample(rows, len(rows)), "k string, o int, v int")
+    most, want = {}, {}
+    for k, o, v in rows:
+        want[o] = most.get(k)
+        most[k] = max((x for x in (most.get(k), v) if x is not None), default=None)
+    got = earlier_maximum(df, "k", "o", "v", ranges=ranges).collect()
+    assert {x.o: x.earlier for x in got} == want and len(got) == len(rows)
+
+
 def test_one_csv_file(spark, tmp_path):
     rows = spark.createDataFrame([(i * 7 % 500, f'a"{i}', "" if i % 3 else "x,y") for i in range(500)], "created int, name string, note string")
     path = str(tmp_path / "out.csv")
