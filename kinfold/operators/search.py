@@ -7,27 +7,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.operators import postings
+
+
+#: Fields of a candidate that are searched as texts.
+SEARCHED = ("full_name", "current_company", "current_title", "city")
+
 
 class NotFound(LookupError):
     """No such record, or no report yet."""
 
 
-def search(candidates: DataFrame, *, q: str | None = None, role: str | None = None, location: str | None = None, open_to_work: bool | None = None, min_experience: int | None = None, limit: int = 50, offset: int = 0) -> tuple[int, DataFrame]:
+def search(candidates: DataFrame, *, q: str | None = None, role: str | None = None, location: str | None = None, open_to_work: bool | None = None, min_experience: int | None = None, limit: int = 50, offset: int = 0, index: DataFrame | None = None) -> tuple[int, DataFrame]:
     """(total, page): optional conditions joined by AND, best score first, then id.
 
     Text is matched as a substring, case-insensitive; ``%`` and ``_`` in it are wildcards. A null
-    ``open_to_work`` equals neither true nor false. ``min_experience`` is in years.
+    ``open_to_work`` equals neither true nor false. ``min_experience`` is in years. With ``index`` (``postings`` of ``SEARCHED``)
+    texts are looked up by their n-grams instead of scanned for.
     """
     if not 1 <= limit <= 200 or offset < 0:
         raise ValueError("1 <= limit <= 200 and 0 <= offset")
     like = lambda column, text: F.col(column).ilike(f"%{text}%")
     conditions: list[Column] = []
-    if q is not None:
-        conditions.append(like("full_name", q) | like("current_company", q))
-    if role is not None:
-        conditions.append(like("current_title", role) | F.array_contains("skills", role.lower()))
-    if location is not None:
-        conditions.append(like("city", location))
+    texts = [(q, ["full_name", "current_company"], None), (role, ["current_title"], None if role is None else F.array_contains("skills", role.lower())), (location, ["city"], None)]
+    for text, fields, other in texts:
+        if text is None:
+            continue
+        if index is not None:
+            candidates = postings.like(candidates, index, "candidate_id", fields, text, other=other)
+        else:
+            conditions.append(reduce(lambda a, b: a | b, [*[like(f, text) for f in fields], *([] if other is None else [other])]))
     if open_to_work is not None:
         conditions.append(F.col("open_to_work") == open_to_work)
     if min_experience is not None:

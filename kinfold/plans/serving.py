@@ -17,6 +17,7 @@ from kinfold.plans.people import valid_times, values_at
 from kinfold.plans.quarantine import Check, Reference, Unique, write_checked
 from kinfold.storage import shared_dir, stage, written
 from kinfold.streaming.archive import Archive
+from kinfold.streaming.keyed import fold_stream, with_rocksdb
 from kinfold.streaming.replay import ingest_stream
 
 
@@ -166,11 +167,13 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream, read twice (a replay); the fold over what was stored equals the batch fold."""
     base = f"{shared_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "events").schema
+    name = f"replayed_{uuid.uuid4().hex}"
+    archive = Archive(spark, name, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), path=f"{base}/stored")
     key = F.sha2(F.to_json(F.struct(*schema.fieldNames())), 256)
     for run in range(2):
         stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*").withColumn("content_hash", key)
-        ingest_stream(stream, f"{base}/stored", f"{base}/checkpoint-{run}").awaitTermination()
-    return current(fold(observations(spark.read.parquet(f"{base}/stored")), ["user_id"]))
+        ingest_stream(stream, archive, f"{base}/checkpoint-{run}").awaitTermination()
+    return current(fold(observations(archive.table()), ["user_id"]))
 
 
 @query(
@@ -244,6 +247,18 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "constraint_name string, n long")
 
 
+@query("q54_keyed_stream", _FOLD_RESULT.replace("arg_max(x.t, x.ord) AS observed_at, ", ""))
+def keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream through the fold with keyed state; the last applied step of each user is its value."""
+    base = f"{shared_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
+    with with_rocksdb(spark):
+        steps = fold_stream(observations(stream).withColumn("time", F.unix_micros("time")), "user_id")
+        steps.writeStream.format("parquet").option("path", f"{base}/steps").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    last = written(spark, f"{base}/steps").where("applied").groupBy("key").agg(F.max_by(F.struct("value", "source", "confidence"), "ord").alias("s"))
+    return last.select(F.col("key").cast("long").alias("user_id"), "s.*")
+
+
 @query("q53_archive_append", "SELECT event_type, count(*) AS stored FROM events GROUP BY event_type")
 def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events into the bucketed archive in three overlapping parts: every content is stored once."""

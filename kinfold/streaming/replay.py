@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from kinfold.storage import stage
+from kinfold.streaming.archive import Archive
 
 
 def append_new(rows: DataFrame, stored_path: str, key: str = "content_hash") -> DataFrame:
@@ -34,11 +35,11 @@ def append_new(rows: DataFrame, stored_path: str, key: str = "content_hash") ->
     return fresh
 
 
-def ingest_stream(stream: DataFrame, stored_path: str, checkpoint: str, then: Callable[[int], None] | None = None) -> StreamingQuery:
-    """Run all that is available through ``append_new``; ``then`` is called after each micro-batch."""
+def ingest_stream(stream: DataFrame, stored: Archive | str, checkpoint: str, then: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Run all that is available into an archive, or a folder through ``append_new``; ``then`` is called after each micro-batch."""
 
     def one(batch: DataFrame, number: int) -> None:
-        append_new(batch, stored_path)
+        stored.append(batch) if isinstance(stored, Archive) else append_new(batch, stored)
         if then is not None:
             then(number)
 

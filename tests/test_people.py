@@ -5,9 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.operators import enrich
+from kinfold.operators import enrich, postings
 from kinfold.operators.components import connected_components
-from kinfold.operators.search import NotFound, detail, latest_report, search, shape
+from kinfold.operators.search import SEARCHED, NotFound, detail, latest_report, search, shape
 from kinfold.plans import people
 from kinfold.sources.crawl import read_provider
 from kinfold.storage import stage
@@ -103,6 +103,10 @@ def test_search(built):
     c = built[2].candidates
     assert search(c, q="beta")[0] == 1 and search(c, role="chef")[0] == 1 and search(c, location="PUNE")[0] == 1
     assert search(c, min_experience=6)[0] == 1 and search(c, open_to_work=False)[0] == 0 and search(c, limit=2, offset=1)[1].count() == 2
+    index = stage(postings.postings(c, "candidate_id", list(SEARCHED)), "postings")
+    for wanted in ({"q": "beta"}, {"q": "LEE"}, {"role": "chef"}, {"role": "kubernetes"}, {"location": "PUNE"}, {"q": "e", "location": "u%e"}, {"role": "engineer", "q": "ann"}, {"q": "zzz"}):
+        one, two = search(c, **wanted), search(c, **wanted, index=index)
+        assert one[0] == two[0] and [r.candidate_id for r in one[1].collect()] == [r.candidate_id for r in two[1].collect()], wanted
     with pytest.raises(ValueError):
         search(c, limit=0)
     with pytest.raises(NotFound):
