@@ -3,8 +3,9 @@
 Rows that share an identifier are one entity, whatever the order they came in: connected components.
 The combination rule depends on order and on the entity's values of the moment: a row without a
 known identifier joins the only entity that has its name, company, city and title. Entities that a
-combination could ever join form a block; only blocks with more than one component are folded row
-by row, each in one small group, everything else is joins. Where the rows are few, they are one block.
+combination could ever join form a block; only blocks with more than one component are folded: small ones row
+by row, each in one group, larger ones by fixed point over many tasks (``combine``), with the same result.
+Where the rows are few, they are one block.
 """
 
 from __future__ import annotations
@@ -16,13 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import normalize as N
+from kinfold.operators.combine import FOUR as _FOUR
+from kinfold.operators.combine import combine, value_key
 from kinfold.operators.components import LOCAL_EDGES, connected_components
 from kinfold.operators.fold import precedence
 from kinfold.sources.crawl import observations
 from kinfold.storage import stage
 from kinfold.workers import ship
 
-_FOUR = ("name", "company", "city", "title")
+#: Rows of a block that one task folds; larger blocks are folded by fixed point.
+BLOCK_ROWS = 20_000
+#: Names of the fields that the combination rule compares.
+_NAMES = {"full_name": "name", "current_company": "company", "location": "city", "current_title": "title"}
 
 
 def strong_components(accepted: DataFrame) -> DataFrame:
@@ -78,7 +84,7 @@ def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
     out = []
     for row in rows.sort_values("position").to_dict("records"):
         combined, via, entity = False, None, owner.get(row["component"])
-        seen = {f["field"]: f for f in row["observed"]}
+        seen = {f["field"]: f for f in ([] if row["observed"] is None else row["observed"])}
         if entity is None:
             mine = {f: row[f] for f in _FOUR}
             if all(mine.values()):
@@ -102,24 +108,30 @@ def _fold_block(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["content_hash", "entity", "combined", "via"])
 
 
-def resolve(accepted: DataFrame) -> DataFrame:
-    """content_hash, entity, combined (the row was attached by the combination rule), via (to which row) for every accepted row."""
+def resolve(accepted: DataFrame, *, block_rows: int = BLOCK_ROWS, local: int = LOCAL_EDGES) -> DataFrame:
+    """content_hash, entity, combined (the row was attached by the combination rule), via (to which row) for every accepted row.
+
+    Blocks of more than ``block_rows`` rows are folded by fixed point; up to ``local`` rows are one block. Rows that say nothing of
+    the four values belong to their component's entity.
+    """
     ship(accepted.sparkSession)
     members = stage(strong_components(accepted), "strong")
     observed = observations(accepted)
     signals = stage(_signals(observed), "signals")
     # A counted, small number of rows is one block; any union of blocks gives the same.
-    small = members.count() <= LOCAL_EDGES
+    small = members.count() <= local
     block = members.select("component").distinct().withColumn("block", F.lit("all")) if small else stage(blocks(members, signals), "blocks")
-    inside = members.join(block, "component")
-    name = {"full_name": "name", "current_company": "company", "location": "city", "current_title": "title"}
-    short = F.create_map(*[F.lit(x) for pair in name.items() for x in pair])[F.col("field")]
-    key = F.when(F.col("field") == "current_company", N.company_key(F.col("value"))).when(F.col("field") == "location", F.get_json_object("value", "$.city")).otherwise(F.lower("value"))
-    seen = observed.where(F.col("field").isin(*name)).groupBy("content_hash").agg(
-        F.collect_list(F.struct(short.alias("field"), "value", "eq", "source", key.alias("key"), F.unix_micros("time").alias("time"), "confidence", "rank")).alias("observed"), F.to_json(F.first("ord")).alias("_o"), F.first("ord").alias("o")
-    )
-    position = F.concat_ws("|", F.lpad(F.col("o.batch_seq").cast("string"), 9, "0"), "o.crawled_at", F.lpad(F.col("o.source_row_id").cast("string"), 12, "0"), "o.content_hash")
-    rows = inside.join(seen, "content_hash").join(signals, "content_hash").select("block", "content_hash", "component", position.alias("position"), "observed", *_FOUR)
+    o = lambda c: F.col(f"ord.{c}")
+    position = F.concat_ws("|", F.lpad(o("batch_seq").cast("string"), 9, "0"), o("crawled_at"), F.lpad(o("source_row_id").cast("string"), 12, "0"), o("content_hash"))
+    inside = members.join(block, "component").join(accepted.select("content_hash", position.alias("position")), "content_hash").join(signals, "content_hash", "left")
+    short = F.create_map(*[F.lit(x) for pair in _NAMES.items() for x in pair])[F.col("field")]
+    said = observed.where(F.col("field").isin(*_NAMES)).withColumn("field", short)
+    inside, said = stage(inside, "inside"), stage(said.select("content_hash", "field", "value", "eq", "source", "time", "confidence", "rank"), "said")
+    large = stage(inside.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select("block"), "large")
+    key = value_key(F.col("field"), F.col("value"))
+    seen = said.groupBy("content_hash").agg(F.collect_list(F.struct("field", "value", "eq", "source", key.alias("key"), F.unix_micros("time").alias("time"), "confidence", "rank")).alias("observed"))
+    rows = inside.join(large, "block", "left_anti").join(seen, "content_hash", "left").select("block", "content_hash", "component", "position", "observed", *_FOUR)
     folded = rows.groupBy("block").applyInPandas(lambda pdf: _fold_block(pdf.astype(object).where(pdf.notna(), None)), "content_hash string, entity string, combined boolean, via string")
     alone = members.join(block, "component", "left_anti").select("content_hash", F.col("component").alias("entity"), F.lit(False).alias("combined"), F.lit(None).cast("string").alias("via"))
-    return alone.union(folded)
+    found = alone.union(folded)
+    return found if large.isEmpty() else found.union(combine(inside.join(large, "block", "left_semi"), said))
