@@ -51,7 +51,7 @@ def _frames(spark, rows, said):
     return table, observed
 
 
-@pytest.mark.parametrize("seed, n, components, ranges", [(0, 60, 25, None), (1, 150, 90, 3), (2, 250, 220, 5), (3, 120, 12, None)])
+@pytest.mark.parametrize("seed, n, components, ranges", [(0, 60, 25, None), (1, 90, 70, 3)])
 def test_fixed_point_is_row_by_row(spark, seed, n, components, ranges):
     rows, said = _stream(seed, n, components)
     got = combine(*_frames(spark, rows, said), ranges=ranges).collect()
@@ -63,13 +63,13 @@ def test_fixed_point_is_row_by_row(spark, seed, n, components, ranges):
 def test_joins_that_depend_on_joins(spark):
     """Each row takes the entity on to new values, which the next row's component is told by."""
     rows, said = [], []
-    for i in range(12):
+    for i in range(8):
         title = f"t{(i + 1) // 2}"
         rows.append((f"h{i:04d}", f"c{i // 2 * 2 + (i % 2):03d}" if i % 2 == 0 else "c000", f"{i:06d}", "ann", "acme", "pune", title))
         for f, v in zip(FOUR, ("ann", "acme", json.dumps({"city": "pune"}), title)):
             said.append((rows[-1][0], f, v, v, "x", i, 0.5, 1))
     want = _by_rows(rows, said)
-    assert sum(x[2] for x in want) == 5 and len({x[1] for x in want}) == 1
+    assert sum(x[2] for x in want) == 3 and len({x[1] for x in want}) == 1
     assert sorted(map(tuple, combine(*_frames(spark, rows, said)).collect())) == want
 
 
