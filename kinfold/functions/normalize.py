@@ -165,3 +165,23 @@ def content_hash(json: Column) -> Column:
 
 def deterministic_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), F.substr(F.sha2(F.to_json(F.struct(*parts)), 256), F.lit(1), F.lit(26)))
+
+
+def fixed(x: Column, places: int) -> Column:
+    """A double with ``places`` (1 to 7) decimals as C and Python print it: rounded by its exact binary value, ties to even.
+
+    Java's formatter, and ``format_string`` with it, rounds the shortest decimal instead, which makes ties of what is none.
+    """
+    scale, size = 10**places, F.abs(x)
+    whole = F.floor(size)
+    part = size - whole
+    # part * scale without rounding, as the sum of two products: the high half of the bits and the low one.
+    wide = part * 134_217_729.0
+    high = wide - (wide - part)
+    down = F.floor(part * scale)
+    beyond = (high * scale - (down + 0.5)) + (part - high) * scale
+    near = down + F.when(beyond > 0, 1).when(beyond == 0, down % 2).otherwise(0)
+    text = F.concat((whole + F.when(near == scale, 1).otherwise(0)).cast("string"), F.lit("."), F.lpad((near % scale).cast("string"), places, "0"))
+    exact = F.concat(F.when(x.cast("string").startswith("-"), "-").otherwise(""), text)
+    # From 2 to the 62nd on a double has no fraction and its shortest decimal is printed; so are infinities and NaN.
+    return F.when(size < 2.0**62, exact).when(x.isNotNull(), F.format_string(f"%.{places}f", x))

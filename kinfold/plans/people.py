@@ -317,7 +317,7 @@ def export_rows(candidates: DataFrame, cache: DataFrame | None = None) -> DataFr
     yes = lambda x: F.when(F.coalesce(F.col(x), F.lit(False)), "true").otherwise("false")
     time = lambda x: F.date_format(x, "yyyy-MM-dd'T'HH:mm:ssxxx")
     shape = {"skills": F.array_join("skills", ";"), "data_quality_flags": F.array_join("data_quality_flags", ";"), "open_to_work": yes("open_to_work"), "contactable": yes("contactable"), "enriched": yes("enriched")}
-    shape |= {"completeness_score": F.format_string("%.3f", F.col("completeness_score").cast("double")), "enrichment_cost_inr": F.format_string("%.2f", F.coalesce(F.col("enrichment_cost_inr").cast("double"), F.lit(0.0)))}
+    shape |= {"completeness_score": N.fixed(F.col("completeness_score").cast("double"), 3), "enrichment_cost_inr": N.fixed(F.coalesce(F.col("enrichment_cost_inr").cast("double"), F.lit(0.0)), 2)}
     shape |= {"first_seen_at": time("first_seen_at"), "last_seen_at": time("last_seen_at")}
     return c.orderBy("created_ord").select(*[F.coalesce(shape.get(n, F.col(n).cast("string")), F.lit("")).alias(n) for n in EXPORT_COLUMNS])
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinfold.functions.normalize import fixed
 from kinfold.operators import enrich
 from kinfold.operators.fold import history
 from kinfold.operators.postings import like, write_postings
@@ -135,7 +136,7 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     c = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
     return c.select(
-        "c_custkey", "c_name", F.format_string("%.3f", F.col("c_acctbal") / 10000).alias("score"), F.format_string("%.2f", F.coalesce("n", F.lit(0)) * F.lit(0.09)).alias("cost"), F.coalesce(F.array_join("p", ";"), F.lit("")).alias("priorities"),
+        "c_custkey", "c_name", fixed(F.col("c_acctbal") / 10000, 3).alias("score"), fixed(F.coalesce("n", F.lit(0)) * F.lit(0.09), 2).alias("cost"), F.coalesce(F.array_join("p", ";"), F.lit("")).alias("priorities"),
         F.coalesce(F.col("primary_order").cast("string"), F.lit("")).alias("primary_order"), F.when(F.coalesce("pending", F.lit(False)), "true").otherwise("false").alias("pending"),
         F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + 60 * F.col("c_custkey")).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("first_seen_at"),
     )

@@ -1,7 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions import normalize as N
+from kinfold.plans import catalogue
+from tests.compare import assert_same
 
 CASES = [
     (N.clean, "  a   b ", "a b"), (N.clean, "Not Disclosed", None), (N.clean, None, None),
@@ -36,3 +40,25 @@ def test_content_hash_ignores_key_order(spark):
     df = spark.createDataFrame([('{"a": 1, "b": 2}',), ('{"b":2,"a":1}',), ("{bad",)], "x string").select(N.content_hash(F.col("x")).alias("h"))
     a, b, c = [r.h for r in df.collect()]
     assert a == b != c
+
+
+def test_fixed_rounds_the_exact_value(spark):
+    """As C and Python print a double; the shortest decimals of many of these are ties, which Java's formatter rounds up."""
+    r = random.Random(0)
+    values = [k / 10000 for k in range(-2005, 10000, 10)] + [k / 8 for k in range(-40, 40)] + [r.uniform(-1, 1) * 10.0 ** r.randrange(-8, 19) for _ in range(500)]
+    values += [0.2415, 0.9995, 0.9994999999999999, 0.99951, 999.9995, -0.0, -1e-9, 5e-324, 2.0**52 + 0.5, 2.0**61, 4503599627370.4971]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, x double")
+    for places in (2, 3):
+        got = {x.i: x.y for x in df.select("i", N.fixed(F.col("x"), places).alias("y")).collect()}
+        assert got == {i: f"{v:.{places}f}" for i, v in enumerate(values)} | {-1: None}
+
+
+def test_export_rows_prints_balances_exactly(spark, duck, tmp_path):
+    """Balances in ties of the third decimal, and one that is missing."""
+    customers = [(i, f"c{i}", 0, (i * 10 + 5) / 1.0, "x") for i in range(900)] + [(900, "c", 0, None, "x")]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(1, 1, "F", 1.0, "1-URGENT")], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    other = duck.cursor()
+    for name in ("customer", "orders"):
+        other.execute(f"CREATE TEMP VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert_same(catalogue.queries()["q42_export_rows"](spark, str(tmp_path)), other, catalogue.oracle_sql()["q42_export_rows"])
