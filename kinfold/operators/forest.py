@@ -58,13 +58,13 @@ def _finished(edges: DataFrame) -> DataFrame:
 
 
 def spanning_forest(edges: DataFrame, *, local: int = LOCAL_EDGES) -> DataFrame:
-    """a, b, w of the edges of the minimum spanning forest of ``edges`` (the same columns); equal weights are told apart by a and b.
+    """a, b, w of the edges of the minimum spanning forest of ``edges`` (the same columns); equal weights are told apart by b and a.
 
     Boruvka's rounds: every tree takes its lightest edge to another, trees that are joined become one, and of parallel edges the
     lightest stays. A round at least halves the trees. It groups by partial minima only and is written to the shared
     folder. What is left of ``local`` edges is finished by one task.
     """
-    now = stage(_lightest(edges.select(F.col("a").alias("u"), F.col("b").alias("v"), F.struct("w", "a", "b").alias("e"))), "forest")
+    now = stage(_lightest(edges.select(F.col("a").alias("u"), F.col("b").alias("v"), F.struct("w", "b", "a").alias("e"))), "forest")
     found = None
     while True:
         if now.count() <= local:
@@ -152,8 +152,8 @@ def merge_history(rows: DataFrame, links: DataFrame, *, local: int = LOCAL_EDGES
         if out:
             yield pa.RecordBatch.from_pylist(out, kind)
 
-    dealt = told.repartition("entity").sortWithinPartitions("entity", "ord")
+    dealt = told.repartition("entity").sortWithinPartitions("entity", "ord", "node")
     history = stage(map_arrow(dealt, run, schema), "merges")
-    first = outcomes.join(merged, "entity", "left_anti").groupBy("entity").agg(F.min_by("node", "ord").alias("survivor"))
+    first = outcomes.join(merged, "entity", "left_anti").groupBy("entity").agg(F.min_by("node", F.struct("ord", "node")).alias("survivor"))
     final = history.where("loser IS NULL").select("entity", "survivor").union(first)
     return outcomes.select("node", "joined"), history.where("loser IS NOT NULL"), final

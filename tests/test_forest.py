@@ -48,6 +48,24 @@ def test_merges_of_random_streams(spark, seed, local):
     assert {x.node: last[x.entity] for x in table.collect()} == member
 
 
+@pytest.mark.parametrize("seed, local", [(s, 20_000) for s in range(6)] + [(6, 0)])
+def test_merges_of_rows_with_equal_orders(spark, seed, local):
+    """Rows of one order follow one another by node, and each finds what the rows before it have left."""
+    r = random.Random(seed)
+    rows = sorted((r.randrange(12), i, r.randrange(60), [f"k{r.randrange(50)}" for _ in range(r.choice([1, 2, 3]))]) for i in range(120))
+    table = spark.createDataFrame([(i, o, t) for o, i, t, _ in reversed(rows)], "node int, ord int, time int").selectExpr("node", "ord", "timestamp_seconds(time) AS time")
+    edges = links(table, spark.createDataFrame([(i, k) for _, i, _, keys in rows for k in keys], "node int, key string"))
+    parts = connected_components(edges, local=local)
+    table = table.join(parts, "node", "left").selectExpr("node", "ord", "time", "coalesce(component, node) AS entity")
+    outcomes, merges, final = merge_history(table, edges, local=local)
+    joined, want, member = _union_find([(i, t, keys) for _, i, t, keys in rows])
+    order = {i: o for o, i, *_ in rows}
+    assert {x.node: x.joined for x in outcomes.collect()} == joined
+    assert sorted((x.survivor, x.loser, x.ord, x.node) for x in merges.collect()) == sorted((s, lost, order[i], i) for s, lost, _, i in want) and want
+    last = {x.entity: x.survivor for x in final.collect()}
+    assert {x.node: last[x.entity] for x in table.collect()} == member
+
+
 @pytest.mark.parametrize("local", [20_000, 0, 10])
 def test_spanning_forest(spark, local):
     r = random.Random(local)
