@@ -158,14 +158,14 @@ def merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_history(rows, edges)[1].select("survivor", "loser", "ord", F.col("node").alias("event_id"))
 
 
-def observations(events: DataFrame) -> DataFrame:
-    """Events as observations of one field of their user; small values say nothing."""
+def observations(events: DataFrame, *more: str) -> DataFrame:
+    """Events as observations of one field of their user, with the columns ``more``; small values say nothing."""
     rank = F.create_map(*[F.lit(x) for pair in _RANKS.items() for x in pair])
     bucket = F.floor(_k() / 25).cast("string")
     value = F.when(F.col("value") >= 5, bucket)
     return events.select(
-        "user_id", F.expr(_ARRIVAL).alias("ord"), value.alias("value"), value.alias("eq"), F.col("event_type").alias("source"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("time"), F.col("value").alias("confidence"), rank[F.col("event_type")].alias("rank")
-    )
+        "user_id", F.expr(_ARRIVAL).alias("ord"), value.alias("value"), value.alias("eq"), F.col("event_type").alias("source"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("time"), F.col("value").alias("confidence"), rank[F.col("event_type")].alias("rank"), *more,
+    )
 
 
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:

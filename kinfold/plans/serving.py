@@ -254,9 +254,9 @@ def keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{shared_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
     with with_rocksdb(spark):
-        steps = fold_stream(observations(stream).withColumn("time", F.unix_micros("time")), "user_id")
+        steps = fold_stream(observations(stream, "event_id").withColumn("time", F.unix_micros("time")), "user_id", "event_id")
         steps.writeStream.format("parquet").option("path", f"{base}/steps").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    last = written(spark, f"{base}/steps").where("applied").groupBy("key").agg(F.max_by(F.struct("value", "source", "confidence"), "ord").alias("s"))
+    last = written(spark, f"{base}/steps").where("applied").groupBy("key").agg(F.max_by(F.struct("value", "source", "confidence"), "version").alias("s"))
     return last.select(F.col("key").cast("long").alias("user_id"), "s.*")
 
 

@@ -1,7 +1,7 @@
 """The field fold as a stream with keyed state: each key keeps its current observation, and what a lookup missed expires.
 
-State is one observation and one order a key, however many rows it has had. Rows of a key that come again (a replayed
-file, a restarted query) carry an order that the state has passed and change nothing; rows whose observation time is
+State is one observation and one place in the order a key, however many rows it has had. Rows of a key that come again (a replayed
+file, a restarted query) carry a place that the state has passed and change nothing; rows whose observation time is
 late are no special case, since the fold goes by processing order and compares times itself. A key's rows of one micro-batch
 are sorted in memory; the source's limit on a micro-batch (``maxFilesPerTrigger``, ``maxBytesPerTrigger``) bounds them.
 """
@@ -20,28 +20,32 @@ from kinfold.operators.fold import precedence
 from kinfold.workers import ship
 
 _CURRENT = "value string, eq string, source string, time long, confidence double, rank int, ord long"
-_STEP = "key string, ord long, rule string, applied boolean, old_value string, value string, source string, time long, confidence double"
+_STEP = "key string, ord long, rule string, applied boolean, old_value string, value string, source string, time long, confidence double, version long"
+#: Rows of equal ord and tie go by what they say, nulls first, as in the batch fold.
+_ORDER = ["ord", "tie", "value", "eq", "source", "time", "confidence", "rank"]
 
 
 class _Fold(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.current = handle.getValueState("current", _CURRENT)
-        self.passed = handle.getValueState("passed", "ord long")
+        self.passed = handle.getValueState("passed", "ord long, tie long, versions long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in _CURRENT.split(", ")]
         cur = dict(zip(names, self.current.get())) if self.current.exists() else None
-        passed = self.passed.get()[0] if self.passed.exists() else None
-        before, out = cur, []
-        frame = pd.concat(list(rows)).sort_values("ord", kind="stable")
+        # What earlier micro-batches passed; rows of this one may share an order, and only those equal in everything are one row twice.
+        *passed, versions = self.passed.get() if self.passed.exists() else (None, None, 0)
+        before, out, last = cur, [], passed
+        frame = pd.concat(list(rows)).sort_values(_ORDER, kind="stable", na_position="first").drop_duplicates(_ORDER)
         for row in frame.astype(object).where(frame.notna(), None).to_dict("records"):
-            if passed is not None and row["ord"] <= passed:
+            place = [int(row["ord"]), int(row["tie"])]
+            if passed[0] is not None and place <= passed:
                 continue
-            passed = int(row["ord"])
+            last, at = place, place[0]
             new = {n: row[n] for n in names}
             if new["value"] is None:
                 if cur is not None:
-                    out.append((key[0], passed, "REJECTED:null_from_source_is_not_deletion", False, cur["value"], None, new["source"], new["time"], new["confidence"]))
+                    out.append((key[0], at, "REJECTED:null_from_source_is_not_deletion", False, cur["value"], None, new["source"], new["time"], new["confidence"], None))
                 continue
             if cur is None:
                 wins, rule = True, "fill_value"
@@ -49,12 +53,12 @@ class _Fold(StatefulProcessor):
                 continue
             else:
                 wins, rule = precedence(cur, new)
-            out.append((key[0], passed, rule, wins, cur and cur["value"], new["value"], new["source"], new["time"], new["confidence"]))
-            cur = new if wins else cur
+            out.append((key[0], at, rule, wins, cur and cur["value"], new["value"], new["source"], new["time"], new["confidence"], versions if wins else None))
+            cur, versions = (new, versions + 1) if wins else (cur, versions)
         if cur is not before:
             self.current.update(tuple(cur[n] for n in names))
-        if passed is not None:
-            self.passed.update((passed,))
+        if last is not passed:
+            self.passed.update((*last, versions))
         if out:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _STEP.split(", ")])
 
@@ -62,14 +66,16 @@ class _Fold(StatefulProcessor):
         pass
 
 
-def fold_stream(observations: DataFrame, key: str) -> DataFrame:
+def fold_stream(observations: DataFrame, key: str, tie: str | None = None) -> DataFrame:
     """The steps of the fold (changes, kept incumbents, refused nulls) as they happen; the state is the current observation.
 
     ``observations``: key, ord (long, rising with arrival for each key), value, eq, source, time (microseconds), confidence, rank.
+    ``tie`` (a column, long) orders a key's rows of equal ord and rises with arrival among them. Without it they must come in one
+    micro-batch: a later one takes an order that was passed for a replay. Applied steps are numbered by version, from 0 for each key.
     Needs a state store that takes several states a key (``rocksdb_state``).
     """
     ship(observations.sparkSession)
-    rows = observations.selectExpr(f"CAST({key} AS STRING) AS key", "ord", "value", "eq", "source", "time", "confidence", "rank")
+    rows = observations.selectExpr(f"CAST({key} AS STRING) AS key", "ord", f"CAST({tie or 0} AS LONG) AS tie", "value", "eq", "source", "time", "confidence", "rank")
     return rows.groupBy("key").transformWithStateInPandas(_Fold(), _STEP, "append", "none")
 
 
