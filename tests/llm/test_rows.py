@@ -182,6 +182,17 @@ def test_repeated_rows_certify_nothing(spark, monkeypatch):
     assert found[0] == found[1] and 1400 < found[0][0][3] < 1800
 
 
+def test_every_label_certifies(spark, monkeypatch):
+    """More labelled documents in a stratum than any bound of old: all of one half are tested, all of the other choose."""
+    n = 130_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "if(id % 5 = 0, '## ##', 'a b') AS text", "'en' AS lang")
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 5 > 0 AS INT) AS quality")
+    certify = spark.range(n).where("id % 5 > 0 AND pmod(xxhash64(id, 'split'), 2) = 0").count()
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(quality, "BROADCAST_LABELS", most)
+        assert [tuple(x)[:2] + tuple(x)[3:5] for x in quality.certified_cutoffs(docs, labels).collect()] == [("en", "symbols", certify, 0)]
+
+
 def test_quality_edges(spark):
     texts = [None, "", "a b c a b c", "x\n x\n\nx\n", "é# " * 40, "a b c d a b c", "a a a a"]
     df = spark.createDataFrame([(i, t, None, 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, rule int")
