@@ -36,8 +36,9 @@ class _Fold(StatefulProcessor):
         # What earlier micro-batches passed; rows of this one may share an order, and only those equal in everything are one row twice.
         *passed, versions = self.passed.get() if self.passed.exists() else (None, None, 0)
         before, out, last = cur, [], passed
-        frame = pd.concat(list(rows)).sort_values(_ORDER, kind="stable", na_position="first").drop_duplicates(_ORDER)
-        for row in frame.astype(object).where(frame.notna(), None).to_dict("records"):
+        frame = pd.concat(list(rows))
+        records = frame.astype(object).where(frame.notna(), None).to_dict("records")
+        for _, row in sorted({tuple((r[c] is not None, r[c]) for c in _ORDER): r for r in records}.items()):
             place = [int(row["ord"]), int(row["tie"])]
             if passed[0] is not None and place <= passed:
                 continue
