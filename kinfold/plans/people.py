@@ -370,12 +370,12 @@ def values_at(valid: DataFrame, moments: DataFrame) -> DataFrame:
     """candidate_id, at, field, value, source, observed_at: what was current just after the row of order ``at``, for each moment (candidate_id, at).
 
     Moments and the intervals' starts of a field are sorted together and each moment takes the last start before it, so that
-    a candidate of very many moments and intervals costs their sum and not their product.
+    a candidate of very many moments and intervals costs their sum and not their product. Starts of one order go by version.
     """
-    starts = valid.select("candidate_id", "field", F.col("valid_from").alias("at"), F.lit(0).alias("asked"), F.struct("value", "source", "observed_at").alias("held"))
+    starts = valid.select("candidate_id", "field", F.col("valid_from").alias("at"), F.lit(0).alias("asked"), "version", F.struct("value", "source", "observed_at").alias("held"))
     asked = moments.select("candidate_id", "at").distinct().join(valid.select("candidate_id", "field").distinct(), "candidate_id")
     both = starts.unionByName(asked.withColumn("asked", F.lit(1)), allowMissingColumns=True)
-    before = Window.partitionBy("candidate_id", "field").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("candidate_id", "field").orderBy("at", "asked", "version").rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumn("held", F.last("held", ignorenulls=True).over(before)).where("asked = 1 AND held IS NOT NULL").select("candidate_id", "at", "field", "held.*")
 
 

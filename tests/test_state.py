@@ -110,3 +110,20 @@ def test_values_at_any_order(spark):
     got = {(x.candidate_id, x["at"], x.field): (x.value, x.source) for x in people.values_at(valid, spark.createDataFrame([(c, m) for c in "abz" for m in moments], "candidate_id string, at int")).collect()}
     want = {(x.candidate_id, m, x.field): (x.current.value, x.current.source) for m in moments for x in current(fold(obs.where(F.col("ord") <= m), by), by).collect()}
     assert got == want and want
+
+
+def test_values_at_orders_that_rows_share(spark):
+    """An order that sets three values, one after the other: the last of them is current after it, however the intervals arrive."""
+    from kinfold.operators.fold import current, fold, history
+
+    rows = [(c, "f", i // 3, "xyz"[i % 3], "xyz"[i % 3], f"s{i}", 0.5, 60 - i) for c in "ab" for i in range(24)]
+    obs = spark.createDataFrame(rows, "candidate_id string, field string, ord int, value string, eq string, source string, confidence double, rank int").withColumn("time", F.lit("2024-01-01").cast("timestamp"))
+    by = ["candidate_id", "field"]
+    valid = people.valid_times(history(fold(obs, by), by)).cache()
+    assert valid.where("valid_from = valid_to").count() == 32
+    moments = spark.createDataFrame([(c, m) for c in "ab" for m in (0, 4, 7)], "candidate_id string, at int")
+    want = {(x.candidate_id, m): (x.current.value, x.current.source) for m in (0, 4, 7) for x in current(fold(obs.where(F.col("ord") <= m), by), by).collect()}
+    for order in ("version", F.desc("version")):
+        arrived = valid.orderBy(order).coalesce(1)
+        got = {(x.candidate_id, x["at"]): (x.value, x.source) for x in people.values_at(arrived, moments).collect()}
+        assert got == want
